@@ -56,13 +56,18 @@ def hex_mod(hex_digits: Column, length: int, m: Column) -> Column:
     return out
 
 
-def bloom_positions(key: Column, m: Column, k: Column) -> Column:
-    """The k bit positions of a key: (md5 + i * sha1) mod m."""
-    h1 = hex_mod(F.md5(key.cast("string").cast("binary")), 32, m)
-    h2 = hex_mod(F.sha1(key.cast("string").cast("binary")), 40, m)
-    pair = F.struct(h1.alias("h1"), h2.alias("h2"))
-    return F.transform(F.array(pair), lambda h: F.transform(
-        F.sequence(F.lit(0).cast("bigint"), k - 1), lambda i: (h["h1"] + i * h["h2"]) % m))[0]
+def bloom_bits(df: DataFrame, key: Column, m: Column, k: Column) -> DataFrame:
+    """The rows of a frame, once per hash function, with its number ``i`` and bit position ``pos``.
+
+    Positions are (md5 + i * sha1) mod m.
+    """
+    digest = key.cast("string").cast("binary")
+    hashed = df.withColumns({"_h1": hex_mod(F.md5(digest), 32, m), "_h2": hex_mod(F.sha1(digest), 40, m), "_m": m})
+    return (
+        hashed.withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), k - 1)))
+        .withColumn("pos", (F.col("_h1") + F.col("i") * F.col("_h2")) % F.col("_m"))
+        .drop("_h1", "_h2", "_m")
+    )
 
 
 def first_seen(df: DataFrame, key: Column, order: str) -> DataFrame:
@@ -70,44 +75,57 @@ def first_seen(df: DataFrame, key: Column, order: str) -> DataFrame:
     return df.select(key.alias("key"), F.col(order).alias("_seq")).groupBy("key").agg(F.min("_seq").alias("first_seq"))
 
 
-def bloom_verdict(df: DataFrame, key: Column, order: str, p: float = 0.01, minimum: int = 1000) -> DataFrame:
-    """(key, first_seq, false_positive) of a filter that reads the rows in order.
+def bloom_verdict(df: DataFrame, key: Column, order: str, p: float = 0.01, minimum: int = 1000,
+                  size: tuple[int, int] | None = None, prior: DataFrame | None = None) -> DataFrame:
+    """(key, first_seq, dropped) of a filter that reads the rows in order.
 
     The sequential filter sets a row's bits when it keeps the row. A row it drops has all its bits
     set already, so "bit set before row t" simply means "some earlier row hashes there", and the
     first row per bit is a grouped minimum. Only the first row of a key can be kept, hence only
     distinct keys take part: copies of one key never meet in one group, and a bit is shared by
     less than one key on average.
+
+    ``size`` fixes (m, k) instead of sizing for the rows at hand. ``prior`` is a bitmap of earlier
+    rows, see bloom_bitmap(); its bits count as set before the first row.
     """
-    params = bloom_params(df, p, minimum)
-    m, k = params.select("m").scalar(), params.select("k").scalar()
-    bits = first_seen(df, key, order).select(
-        "key", "first_seq", F.explode(bloom_positions(F.col("key"), m, k)).alias("pos"))
+    if size is None:
+        params = bloom_params(df, p, minimum)
+        m, k = params.select("m").scalar(), params.select("k").scalar()
+    else:
+        m, k = F.lit(size[0]).cast("bigint"), F.lit(size[1]).cast("bigint")
+    bits = bloom_bits(first_seen(df, key, order), F.col("key"), m, k)
     owner = bits.groupBy("pos").agg(F.min("first_seq").alias("owner_seq"))
-    return (
-        bits.join(owner, "pos")
-        .groupBy("key", "first_seq")
-        .agg(F.min(F.col("owner_seq") < F.col("first_seq")).alias("false_positive"))
-    )
+    early = F.col("owner_seq") < F.col("first_seq")
+    if prior is not None:
+        placed = owner.withColumns({"bucket": F.bitmap_bucket_number("pos"), "bit": F.bitmap_bit_position("pos")})
+        owner = placed.join(prior, "bucket", "left").select("pos", "owner_seq", _bit_is_set().alias("was_set"))
+        early = early | F.col("was_set")
+    return bits.join(owner, "pos").groupBy("key", "first_seq").agg(F.min(early).alias("dropped"))
+
+
+def _bit_is_set() -> Column:
+    """Whether ``bit`` is set in ``bitmap``; a bucket that is not stored has no bit set."""
+    byte = F.conv(F.hex(F.substring(F.col("bitmap"), (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
+    return F.coalesce(F.getbit(byte, (F.col("bit") % 8).cast("int")) == 1, F.lit(False))
 
 
 def bloom_dedup(df: DataFrame, key: Column, order: str, p: float = 0.01, minimum: int = 1000) -> DataFrame:
     """Rows the sequential Bloom filter keeps."""
-    kept = bloom_verdict(df, key, order, p, minimum).filter(~F.col("false_positive")).select(F.col("first_seq").alias(order))
+    kept = bloom_verdict(df, key, order, p, minimum).filter(~F.col("dropped")).select(F.col("first_seq").alias(order))
     return df.join(kept, order, "left_semi")
 
 
 def bloom_false_positives(df: DataFrame, key: Column, order: str, p: float = 0.01, minimum: int = 1000) -> DataFrame:
     """First rows of keys the filter drops although it never saw them."""
-    lost = bloom_verdict(df, key, order, p, minimum).filter("false_positive").select(F.col("first_seq").alias(order))
+    lost = bloom_verdict(df, key, order, p, minimum).filter("dropped").select(F.col("first_seq").alias(order))
     return df.join(lost, order, "left_semi")
 
 
 def ingest_stats(df: DataFrame, key: Column, order: str, p: float = 0.01, minimum: int = 1000) -> DataFrame:
     """One row of counters over a whole ingest."""
     verdict = bloom_verdict(df, key, order, p, minimum).agg(
-        F.coalesce(F.sum(F.when(F.col("false_positive"), 0).otherwise(1)), F.lit(0)).alias("ingested"),
-        F.coalesce(F.sum(F.when(F.col("false_positive"), 1).otherwise(0)), F.lit(0)).alias("bloom_false_positives"),
+        F.coalesce(F.sum(F.when(F.col("dropped"), 0).otherwise(1)), F.lit(0)).alias("ingested"),
+        F.coalesce(F.sum(F.when(F.col("dropped"), 1).otherwise(0)), F.lit(0)).alias("bloom_false_positives"),
     )
     params = bloom_params(df, p, minimum)
     total = df.agg(F.count(F.lit(1)).alias("total_seen")).select("total_seen").scalar()
@@ -123,7 +141,7 @@ def ingest_stats(df: DataFrame, key: Column, order: str, p: float = 0.01, minimu
 def bloom_bitmap(df: DataFrame, key: Column, m: Column, k: Column) -> DataFrame:
     """A filter as rows (bucket, bitmap) of 32,768 bits each."""
     return (
-        df.select(F.explode(bloom_positions(key, m, k)).alias("pos")).distinct()
+        bloom_bits(df.select(key.alias("key")).distinct(), F.col("key"), m, k).select("pos").distinct()
         .groupBy(F.bitmap_bucket_number("pos").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("pos")).alias("bitmap"))
     )
@@ -132,11 +150,9 @@ def bloom_bitmap(df: DataFrame, key: Column, m: Column, k: Column) -> DataFrame:
 def bloom_membership(probe: DataFrame, key: Column, bitmap: DataFrame, m: Column, k: Column) -> DataFrame:
     """Distinct probe keys with a flag telling whether the filter may contain them."""
     keys = probe.select(key.alias("key")).distinct()
-    bits = keys.select("key", F.explode(F.array_distinct(bloom_positions(F.col("key"), m, k))).alias("pos")).select(
+    bits = bloom_bits(keys, F.col("key"), m, k).select(
         "key", F.bitmap_bucket_number("pos").alias("bucket"), F.bitmap_bit_position("pos").alias("bit"))
-    byte = F.conv(F.hex(F.substring(F.col("bitmap"), (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = F.coalesce(F.getbit(byte.cast("bigint"), (F.col("bit") % 8).cast("int")) == 1, F.lit(False))
-    return bits.join(bitmap, "bucket", "left").groupBy("key").agg(F.min(is_set).alias("maybe_seen"))
+    return bits.join(bitmap, "bucket", "left").groupBy("key").agg(F.min(_bit_is_set()).alias("maybe_seen"))
 
 
 def only_new(live: DataFrame, corpus: DataFrame, order: Column | str) -> DataFrame:

@@ -214,3 +214,25 @@ LEARNING_RATE = 0.15
 EPSILON = 0.2
 BASELINE_START = 0.5
 BASELINE_KEEP = 0.8
+
+# Sentences of the tailored texts and of explanations, with named blanks.
+SUMMARY_TEXT = (
+    "{focus}{role} targeting {roles}. Hands-on strength in {strength}. Strong fit for the {title} role at {company}, "
+    "bringing directly relevant experience and a track record of turning data into decisions."
+)
+OPENING_TEXT = (
+    "I am excited to apply for the {title} position at {company}. As {role} with hands-on experience in {strength}, "
+    "I am confident I can contribute from day one."
+)
+CLOSING_TEXT = (
+    "What draws me to this role is the alignment between your requirements and my strengths in {strength}. "
+    "I would welcome the opportunity to discuss how I can help {company} succeed."
+)
+REASON_TEXTS = {
+    "skills": "Matches {n} of your skills: {names}",
+    "similarity": "Strong semantic match to your profile ({percent}%)",
+    "title": "Title aligns with your target roles",
+    "salary": "Meets your salary requirement",
+    "seniority": "Seniority level matches your preference",
+}
+REASON_FALLBACK = "Relevant to your profile"

@@ -38,11 +38,11 @@ def bloom_size(n: Column, p: float) -> Column:
 
 
 def bloom_params(df: DataFrame, p: float = 0.01, minimum: int = 1000) -> DataFrame:
-    """One row: n, m, k and the size in KB for all rows of the frame."""
-    n = df.agg(F.greatest(F.count(F.lit(1)), F.lit(minimum)).alias("n"))
+    """One row: rows in the frame, n, m, k and the filter's size in KB."""
+    n = df.agg(F.count(F.lit(1)).alias("rows")).withColumn("n", F.greatest("rows", F.lit(minimum)))
     return (
         n.withColumn("s", bloom_size(F.col("n"), p))
-        .select("n", "s.m", "s.k", (F.floor((F.col("s.m") + 7) / 8) / F.lit(1024.0).cast("double")).alias("size_kb"))
+        .select("rows", "n", "s.m", "s.k", (F.floor((F.col("s.m") + 7) / 8) / F.lit(1024.0).cast("double")).alias("size_kb"))
     )
 
 
@@ -89,8 +89,8 @@ def bloom_verdict(df: DataFrame, key: Column, order: str, p: float = 0.01, minim
     rows, see bloom_bitmap(); its bits count as set before the first row.
     """
     if size is None:
-        params = bloom_params(df, p, minimum)
-        m, k = params.select("m").scalar(), params.select("k").scalar()
+        params = bloom_params(df, p, minimum).select(F.struct("m", "k").alias("s")).scalar()
+        m, k = params["m"], params["k"]
     else:
         m, k = F.lit(size[0]).cast("bigint"), F.lit(size[1]).cast("bigint")
     bits = bloom_bits(first_seen(df, key, order), F.col("key"), m, k)
@@ -127,13 +127,12 @@ def ingest_stats(df: DataFrame, key: Column, order: str, p: float = 0.01, minimu
         F.coalesce(F.sum(F.when(F.col("dropped"), 0).otherwise(1)), F.lit(0)).alias("ingested"),
         F.coalesce(F.sum(F.when(F.col("dropped"), 1).otherwise(0)), F.lit(0)).alias("bloom_false_positives"),
     )
-    params = bloom_params(df, p, minimum)
-    total = df.agg(F.count(F.lit(1)).alias("total_seen")).select("total_seen").scalar()
+    params = bloom_params(df, p, minimum).select(F.struct("rows", "size_kb").alias("s")).scalar()
     return verdict.select(
-        total.alias("total_seen"),
-        (total - F.col("ingested")).alias("duplicates"),
+        params["rows"].alias("total_seen"),
+        (params["rows"] - F.col("ingested")).alias("duplicates"),
         "ingested",
-        params.select("size_kb").scalar().alias("bloom_size_kb"),
+        params["size_kb"].alias("bloom_size_kb"),
         "bloom_false_positives",
     )
 

@@ -26,8 +26,8 @@ def bottom_k(df: DataFrame, key: Column, k: int, seed: int = 42) -> DataFrame:
     per_prefix = tagged.groupBy("_prefix").agg(F.count(F.lit(1)).alias("n"))  # at most PREFIXES rows
     reached = per_prefix.withColumn("upto", F.sum("n").over(Window.orderBy("_prefix"))).filter(F.col("upto") >= k)
     cut = reached.agg(F.min(F.struct("_prefix", (F.lit(k) - F.col("upto") + F.col("n")).alias("room"))).alias("cut"))
-    last = F.coalesce(cut.select("cut._prefix").scalar(), F.lit(PREFIXES))
-    room = F.coalesce(cut.select("cut.room").scalar(), F.lit(0))
+    found = cut.select("cut").scalar()
+    last, room = F.coalesce(found["_prefix"], F.lit(PREFIXES)), F.coalesce(found["room"], F.lit(0))
     place = F.row_number().over(Window.partitionBy("_prefix").orderBy("_hash"))
     return (
         tagged.filter(F.col("_prefix") <= last)

@@ -263,9 +263,8 @@ def bloom_params(i: Inputs) -> DataFrame:
 @query
 def bloom_positions(i: Inputs) -> DataFrame:
     docs = i.table("documents").select("doc_id", "text")
-    p = dedup.bloom_params(docs, BLOOM_P)
-    m, k = p.select("m").scalar(), p.select("k").scalar()
-    return dedup.bloom_bits(docs, F.col("text"), m, k).select("doc_id", "i", "pos")
+    size = dedup.bloom_params(docs, BLOOM_P).select(F.struct("m", "k").alias("s")).scalar()
+    return dedup.bloom_bits(docs, F.col("text"), size["m"], size["k"]).select("doc_id", "i", "pos")
 
 
 @query
@@ -313,7 +312,9 @@ def upsert_flags(i: Inputs) -> DataFrame:
 @query
 def inject_dups(i: Inputs) -> DataFrame:
     mixed = sampling.with_injected_duplicates(i.postings.select("job_id", "title", "company", "seq"), F.col("job_id"), 500)
-    mixed = mixed.withColumn("arrival", F.col("copy") * 10_000_000 + F.col("seq"))
+    path = shared_dir(i.spark, "mixed")
+    mixed.withColumn("arrival", F.col("copy") * 10_000_000 + F.col("seq")).write.parquet(path)
+    mixed = i.spark.read.parquet(path)
     out = dedup.ingest_stats(mixed, dedup.dedup_key(mixed), "arrival", 0.01)
     return out.withColumn("bloom_size_kb", F.round("bloom_size_kb", 6))
 

@@ -6,27 +6,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rolefit import vocab
-from rolefit.functions.text import any_of, matches
+from rolefit.functions.text import matches, quoted
 
 
-def extract_skills(text: Column, patterns: dict[str, str] | None = None,
+def extract_skills(text: str, patterns: dict[str, str] | None = None,
                    cues: dict[str, list[str]] | None = None) -> Column:
-    """Sorted vocabulary skills named in the text.
+    """Sorted vocabulary skills named in a text, given as a column name or SQL expression.
 
     A skill's pattern only runs on texts holding one of its cue words: a byte search is far
     cheaper than a regex pass, and most postings name few of the skills.
     """
     patterns = vocab.SKILL_PATTERNS if patterns is None else patterns
     cues = vocab.SKILL_CUES if cues is None else cues
-    lowered = F.lower(text)
 
-    def hit(name: str) -> Column:
-        found = matches(text, patterns[name])
+    def hit(name: str) -> str:
+        found = f"{text} RLIKE {quoted('(?i)' + patterns[name])}"
         if cues.get(name):
-            return any_of([F.contains(lowered, F.lit(cue)) for cue in cues[name]]) & found
-        return found
+            cued = " OR ".join(f"contains(lower({text}), {quoted(cue)})" for cue in cues[name])
+            found = f"({cued}) AND {found}"
+        return f"CASE WHEN {found} THEN {quoted(name)} END"
 
-    return F.array_compact(F.array(*[F.when(hit(name), F.lit(name)) for name in sorted(patterns)]))
+    return F.expr(f"array_compact(array({', '.join(hit(name) for name in sorted(patterns))}))")
 
 
 def skill_overlap(job_skills: Column, profile_skills: Column) -> Column:
@@ -72,10 +72,10 @@ def is_defense(blob: Column) -> Column:
     return matches(blob, vocab.DEFENSE_PATTERN)
 
 
-def company_size(company: Column, blob: Column, large_employers: list[str] | None = None) -> Column:
+def company_size(company: str, blob: Column, large_employers: list[str] | None = None) -> Column:
+    """large, small or unknown; ``company`` is a column name or SQL expression."""
     names = vocab.LARGE_EMPLOYERS if large_employers is None else large_employers
-    lowered = F.lower(company)
-    known_large = any_of([F.contains(lowered, F.lit(name)) for name in names])
+    known_large = F.expr(" OR ".join(f"contains(lower({company}), {quoted(name)})" for name in names))
     return (
         F.when(known_large, "large")
         .when(matches(blob, vocab.SMALL_PATTERN), "small")
@@ -97,14 +97,13 @@ def enrich(postings: DataFrame) -> DataFrame:
     """
     title = F.coalesce("title", F.lit(""))
     description = F.coalesce("description", F.lit(""))
-    company = F.coalesce("company", F.lit(""))
     blob = F.concat(title, F.lit(". "), description)
     return postings.withColumns({"seniority": seniority(title, description)}).withColumns({
         "years_required": years_required(description, F.col("seniority")),
         "is_contract": is_contract(blob),
         "sponsors_visa": sponsors_visa(blob),
         "is_defense": is_defense(blob),
-        "company_size": company_size(company, blob),
+        "company_size": company_size("coalesce(company, '')", blob),
         "salary_value": salary_value(F.col("salary_min"), F.col("salary_max")),
     })
 

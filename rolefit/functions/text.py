@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -19,6 +20,11 @@ def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False)) if conditions else F.lit(False)
 
 
+def quoted(value: str) -> str:
+    """A string as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def strip_ws(c: Column) -> Column:
     """Strip every kind of whitespace at both ends (``trim`` strips spaces only)."""
     return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
@@ -53,8 +59,9 @@ def word_needle(c: Column) -> Column:
     return F.concat(F.lit(MARK), inner, F.lit(MARK))
 
 
-def contains_word(marked: Column, word: Column) -> Column:
-    return F.contains(marked, word_needle(word))
+def marked_word(word: str) -> str:
+    """word_needle() of a fixed word."""
+    return MARK + re.sub(f"^{MARK}|{MARK}$", "", re.sub(r"\b", MARK, word.lower())) + MARK
 
 
 def content_key(title: Column, company: Column, location: Column, description: Column) -> Column:

@@ -6,15 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rolefit import vocab
-from rolefit.functions.text import contains_word, mark_words
+from rolefit.functions.text import mark_words, marked_word, quoted
 
 MAX_KEYWORDS = 25
 
 
-def ats_hits(marked: Column, keywords: list[str] | None = None) -> Column:
-    """Vocabulary keywords named in a text that went through mark_words(), in vocabulary order."""
+def ats_hits(marked: str, keywords: list[str] | None = None) -> Column:
+    """Vocabulary keywords named in a column that went through mark_words(), in vocabulary order."""
     names = vocab.ATS_VOCABULARY if keywords is None else keywords
-    return F.array_compact(F.array(*[F.when(contains_word(marked, F.lit(k)), F.lit(k)) for k in names]))
+    hits = ", ".join(f"CASE WHEN contains({marked}, {quoted(marked_word(k))}) THEN {quoted(k)} END" for k in names)
+    return F.expr(f"array_compact(array({hits}))")
 
 
 def reduce_keywords(hits: Column, limit: int = MAX_KEYWORDS) -> Column:
@@ -37,7 +38,7 @@ def reduce_keywords(hits: Column, limit: int = MAX_KEYWORDS) -> Column:
 def job_keywords(postings: DataFrame) -> DataFrame:
     """(job_id, keywords). One regex pass marks the words of a text; each keyword is a byte search."""
     marked = postings.select("job_id", mark_words(F.concat("title", F.lit(". "), "description")).alias("marked"))
-    hits = marked.select("job_id", ats_hits(F.col("marked")).alias("hits"))
+    hits = marked.select("job_id", ats_hits("marked").alias("hits"))
     return hits.select("job_id", reduce_keywords(F.col("hits")).alias("keywords"))
 
 
@@ -52,7 +53,7 @@ def candidate_text(profiles: DataFrame) -> Column:
 def profile_keywords(profiles: DataFrame) -> DataFrame:
     """(profile_id, known): vocabulary keywords the profile's text names."""
     marked = profiles.select("profile_id", mark_words(candidate_text(profiles)).alias("marked"))
-    return marked.select("profile_id", ats_hits(F.col("marked")).alias("known"))
+    return marked.select("profile_id", ats_hits("marked").alias("known"))
 
 
 def ats_match(pairs: DataFrame, postings: DataFrame, profiles: DataFrame) -> DataFrame:

@@ -55,12 +55,12 @@ def drop_unusable(df: DataFrame) -> DataFrame:
 
 def fill_skills(df: DataFrame) -> DataFrame:
     """Keep a given list, re-extract from a given string, else derive from title and text."""
-    derived = extract_skills(F.concat("title", F.lit(". "), "description"))
+    derived = extract_skills("concat(title, '. ', description)")
     given = df.schema["skills"].dataType
     if isinstance(given, T.ArrayType):
         column = F.when(F.size("skills") > 0, F.col("skills")).otherwise(derived)
     else:
-        column = F.when(F.length("skills") > 2, extract_skills(F.col("skills"))).otherwise(derived)
+        column = F.when(F.length("skills") > 2, extract_skills("skills")).otherwise(derived)
     return df.withColumn("skills", column)
 
 

@@ -129,7 +129,7 @@ def parse_profiles(i: Inputs) -> DataFrame:
 
 @query
 def profile_resume_skills(i: Inputs) -> DataFrame:
-    return i.profiles.select("profile_id", joined(features.extract_skills(F.col("resume_text"))).alias("skills"))
+    return i.profiles.select("profile_id", joined(features.extract_skills("resume_text")).alias("skills"))
 
 
 # --- sinks -------------------------------------------------------------------------------------

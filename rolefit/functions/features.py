@@ -6,27 +6,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rolefit import vocab
-from rolefit.functions.text import matches, quoted
+from rolefit.functions.text import cued_match, quoted
 
 
-def extract_skills(text: str, patterns: dict[str, str] | None = None,
-                   cues: dict[str, list[str]] | None = None) -> Column:
-    """Sorted vocabulary skills named in a text, given as a column name or SQL expression.
+# Lower-cased "title. description", computed once per row and read by all cue searches.
+LOWERED = "_lowered"
+BLOB = "concat(title, '. ', description)"
 
-    A skill's pattern only runs on texts holding one of its cue words: a byte search is far
-    cheaper than a regex pass, and most postings name few of the skills.
-    """
-    patterns = vocab.SKILL_PATTERNS if patterns is None else patterns
-    cues = vocab.SKILL_CUES if cues is None else cues
 
-    def hit(name: str) -> str:
-        found = f"{text} RLIKE {quoted('(?i)' + patterns[name])}"
-        if cues.get(name):
-            cued = " OR ".join(f"contains(lower({text}), {quoted(cue)})" for cue in cues[name])
-            found = f"({cued}) AND {found}"
-        return f"CASE WHEN {found} THEN {quoted(name)} END"
+def with_lowered(df: DataFrame) -> DataFrame:
+    return df.withColumn(LOWERED, F.lower(F.expr(BLOB)))
+
 
-    return F.expr(f"array_compact(array({', '.join(hit(name) for name in sorted(patterns))}))")
+def extract_skills(text: str, lowered: str | None = None, patterns: dict[str, str] | None = None,
+                   cues: dict[str, list[str]] | None = None) -> Column:
+    """Sorted vocabulary skills named in a text; both texts are column names or SQL expressions."""
+    lowered = lowered or f"lower({text})"
+    patterns = vocab.SKILL_PATTERNS if patterns is None else patterns
+    cues = vocab.SKILL_CUES if cues is None else cues
+    hits = ", ".join(
+        f"CASE WHEN {cued_match(text, lowered, patterns[name], cues.get(name, []))} THEN {quoted(name)} END" for name in sorted(patterns))
+    return F.expr(f"array_compact(array({hits}))")
 
 
 def skill_overlap(job_skills: Column, profile_skills: Column) -> Column:
@@ -34,13 +34,12 @@ def skill_overlap(job_skills: Column, profile_skills: Column) -> Column:
     return F.size(F.array_intersect(job_skills, profile_skills))
 
 
-def seniority(title: Column, description: Column) -> Column:
-    blob = F.lower(F.concat(title, F.lit(" "), description))
-    out = None
-    for level, pattern in vocab.SENIORITY_PATTERNS:
-        hit = blob.rlike(pattern)
-        out = F.when(hit, level) if out is None else out.when(hit, level)
-    return out.otherwise("mid")
+def seniority() -> Column:
+    # Title and description are joined by a space here: a match may span both.
+    text = "concat(title, ' ', description)"
+    whens = " ".join(
+        f"WHEN {cued_match(text, LOWERED, pattern, vocab.FLAG_CUES[level])} THEN {quoted(level)}" for level, pattern in vocab.SENIORITY_PATTERNS)
+    return F.expr(f"CASE {whens} ELSE 'mid' END")
 
 
 def stated_years(description: Column) -> Column:
@@ -56,30 +55,33 @@ def years_required(description: Column, level: Column) -> Column:
     return F.greatest(stated_years(description), implied)
 
 
-def is_contract(blob: Column) -> Column:
-    return matches(blob, vocab.CONTRACT_PATTERN)
+def _flag(name: str, pattern: str) -> Column:
+    return F.expr(cued_match(BLOB, LOWERED, pattern, vocab.FLAG_CUES[name]))
+
+
+def is_contract() -> Column:
+    return _flag("contract", vocab.CONTRACT_PATTERN)
 
 
-def sponsors_visa(blob: Column) -> Column:
+def sponsors_visa() -> Column:
     """False when ruled out, true when offered, null when the text does not say."""
     return (
-        F.when(matches(blob, vocab.NO_SPONSOR_PATTERN), F.lit(False))
-        .when(matches(blob, vocab.SPONSOR_PATTERN), F.lit(True))
+        F.when(_flag("no_sponsor", vocab.NO_SPONSOR_PATTERN), F.lit(False))
+        .when(_flag("sponsor", vocab.SPONSOR_PATTERN), F.lit(True))
     )
 
 
-def is_defense(blob: Column) -> Column:
-    return matches(blob, vocab.DEFENSE_PATTERN)
+def is_defense() -> Column:
+    return _flag("defense", vocab.DEFENSE_PATTERN)
 
 
-def company_size(company: str, blob: Column, large_employers: list[str] | None = None) -> Column:
-    """large, small or unknown; ``company`` is a column name or SQL expression."""
+def company_size(large_employers: list[str] | None = None) -> Column:
     names = vocab.LARGE_EMPLOYERS if large_employers is None else large_employers
-    known_large = F.expr(" OR ".join(f"contains(lower({company}), {quoted(name)})" for name in names))
+    known_large = F.expr(" OR ".join(f"contains(lower(company), {quoted(name)})" for name in names))
     return (
         F.when(known_large, "large")
-        .when(matches(blob, vocab.SMALL_PATTERN), "small")
-        .when(matches(blob, vocab.LARGE_PATTERN), "large")
+        .when(_flag("small", vocab.SMALL_PATTERN), "small")
+        .when(_flag("large", vocab.LARGE_PATTERN), "large")
         .otherwise("unknown")
     )
 
@@ -92,20 +94,17 @@ def salary_value(low: Column, high: Column) -> Column:
 def enrich(postings: DataFrame) -> DataFrame:
     """Add the seven derived columns; replaces them when they are already there.
 
-    One narrow projection: no shuffle, and columns a query does not use are pruned together with
-    their regexes.
+    Narrow projections only: no shuffle, and columns a query does not use are pruned together with
+    their regexes. Canonical postings have no null title, company or description.
     """
-    title = F.coalesce("title", F.lit(""))
-    description = F.coalesce("description", F.lit(""))
-    blob = F.concat(title, F.lit(". "), description)
-    return postings.withColumns({"seniority": seniority(title, description)}).withColumns({
-        "years_required": years_required(description, F.col("seniority")),
-        "is_contract": is_contract(blob),
-        "sponsors_visa": sponsors_visa(blob),
-        "is_defense": is_defense(blob),
-        "company_size": company_size("coalesce(company, '')", blob),
+    return with_lowered(postings).withColumns({
+        "seniority": seniority(),
+        "is_contract": is_contract(),
+        "sponsors_visa": sponsors_visa(),
+        "is_defense": is_defense(),
+        "company_size": company_size(),
         "salary_value": salary_value(F.col("salary_min"), F.col("salary_max")),
-    })
+    }).withColumn("years_required", years_required(F.col("description"), F.col("seniority"))).drop(LOWERED)
 
 
 def job_text(title: Column, skills: Column, description: Column) -> Column:

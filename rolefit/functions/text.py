@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 from rolefit import vocab
 
 # Unicode whitespace, spelled out because \s covers only ASCII blanks in Java regexes.
-WS = r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+WS_RANGES = [(0x9, 0xD), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+             (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)]
+_WS_CLASS = "".join(rf"\x{{{lo:X}}}-\x{{{hi:X}}}" for lo, hi in WS_RANGES)
+WS, NOT_WS = f"[{_WS_CLASS}]", f"[^{_WS_CLASS}]"
+WS_CHARS = "".join(chr(c) for lo, hi in WS_RANGES for c in range(lo, hi + 1))
+KEY_CHARS = 120
 # Private mark placed at word boundaries, see mark_words().
 MARK = "\u0001"
 
@@ -27,7 +32,7 @@ def quoted(value: str) -> str:
 
 def strip_ws(c: Column) -> Column:
     """Strip every kind of whitespace at both ends (``trim`` strips spaces only)."""
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def collapse_ws(c: Column) -> Column:
@@ -43,6 +48,18 @@ def matches(c: Column, pattern: str) -> Column:
     return c.rlike("(?i)" + pattern)
 
 
+def cued_match(text: str, lowered: str, pattern: str, cues: list[str]) -> str:
+    """SQL for a case-insensitive match that runs only on texts holding one of the cue words.
+
+    ``lowered`` names the lower-cased text. A byte search is far cheaper than a regex pass, and
+    few texts hold a given cue.
+    """
+    found = f"{text} RLIKE {quoted('(?i)' + pattern)}"
+    if not cues:
+        return found
+    return f"(({' OR '.join(f'contains({lowered}, {quoted(cue)})' for cue in cues)}) AND {found})"
+
+
 def mark_words(c: Column) -> Column:
     """Lower-case text with a mark at each word boundary.
 
@@ -65,8 +82,15 @@ def marked_word(word: str) -> str:
 
 
 def content_key(title: Column, company: Column, location: Column, description: Column) -> Column:
-    """16 hex digits identifying a posting by what it says; reposts share it."""
-    prefix = F.substring(collapse_ws(F.lower(description)), 1, 120)
+    """16 hex digits identifying a posting by what it says; reposts share it.
+
+    The key reads the first characters of the lower-cased description with whitespace collapsed.
+    A run of whitespace counts as one character there, so the stretch of text that can matter is
+    cut out first and long descriptions are not rewritten as a whole. One more character than
+    needed is taken because lower-casing may look at the next one.
+    """
+    stretch = F.regexp_extract(description, f"^(?:{NOT_WS}|{WS}++){{0,{KEY_CHARS + 1}}}+", 0)
+    prefix = F.substring(collapse_ws(F.lower(stretch)), 1, KEY_CHARS)
     return F.substring(
         F.md5(F.concat_ws("|", F.lower(title), F.lower(company), F.lower(location), prefix)), 1, 16
     )

@@ -93,28 +93,32 @@ def summary_stats(enriched: DataFrame) -> DataFrame:
     )
 
 
-def sketch_bucket(item: Column, depth_row: Column, width: int) -> Column:
-    digest = F.md5(F.concat(depth_row.cast("string"), F.lit(":"), item))
-    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % width).cast("int")
+def sketch_rows(items: DataFrame, depth: int, width: int) -> DataFrame:
+    """Every row once per sketch row, with its bucket there.
+
+    One digest serves four sketch rows, eight hex digits each.
+    """
+    blocks = -(-depth // 4)
+    hashed = items.withColumn("_digest", F.concat(*[F.md5(F.concat(F.lit(f"{n}:"), "item")) for n in range(blocks)]))
+    row = F.explode(F.sequence(F.lit(0), F.lit(depth - 1)))
+    part = F.substring(F.col("_digest"), F.col("depth_row") * 8 + 1, F.lit(8))
+    bucket = (F.conv(part, 16, 10).cast("bigint") % width).cast("int")
+    return hashed.withColumn("depth_row", row).withColumn("bucket", bucket).drop("_digest")
 
 
 def count_min_sketch(items: DataFrame, item: str, width: int = 256, depth: int = 4) -> DataFrame:
     """Sketch cells (depth_row, bucket, cnt). Each task ships at most width x depth partial counts."""
-    cells = items.select(F.col(item).alias("item"), F.explode(F.sequence(F.lit(0), F.lit(depth - 1))).alias("depth_row"))
-    return (
-        cells.groupBy("depth_row", sketch_bucket(F.col("item"), F.col("depth_row"), width).alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
+    cells = sketch_rows(items.select(F.col(item).alias("item")), depth, width)
+    return cells.groupBy("depth_row", "bucket").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def sketch_estimates(items: DataFrame, item: str, top: int = 10, width: int = 256, depth: int = 4) -> DataFrame:
     """Exact counts of the most frequent items next to their sketch estimates."""
     exact = items.groupBy(F.col(item).alias("item")).agg(F.count(F.lit(1)).alias("exact")).orderBy(F.desc("exact"), "item").limit(top)
     sketch = count_min_sketch(items, item, width, depth)
-    probes = exact.select("item", "exact", F.explode(F.sequence(F.lit(0), F.lit(depth - 1))).alias("depth_row"))
-    probes = probes.withColumn("bucket", sketch_bucket(F.col("item"), F.col("depth_row"), width))
     return (
-        probes.join(sketch, ["depth_row", "bucket"]).groupBy("item", "exact").agg(F.min("cnt").alias("cms_estimate"))
+        sketch_rows(exact, depth, width).join(sketch, ["depth_row", "bucket"])
+        .groupBy("item", "exact").agg(F.min("cnt").alias("cms_estimate"))
         .withColumn("error_pct", F.bround(F.lit(100.0) * (F.col("cms_estimate") - F.col("exact")) / F.col("exact"), 2))
     )
 

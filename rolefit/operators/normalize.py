@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rolefit import vocab
-from rolefit.functions.features import extract_skills
+from rolefit.functions.features import BLOB, LOWERED, extract_skills, with_lowered
 from rolefit.functions.text import content_key, strip_html, strip_ws
 
 
@@ -55,13 +55,12 @@ def drop_unusable(df: DataFrame) -> DataFrame:
 
 def fill_skills(df: DataFrame) -> DataFrame:
     """Keep a given list, re-extract from a given string, else derive from title and text."""
-    derived = extract_skills("concat(title, '. ', description)")
-    given = df.schema["skills"].dataType
-    if isinstance(given, T.ArrayType):
+    derived = extract_skills(BLOB, LOWERED)
+    if isinstance(df.schema["skills"].dataType, T.ArrayType):
         column = F.when(F.size("skills") > 0, F.col("skills")).otherwise(derived)
     else:
         column = F.when(F.length("skills") > 2, extract_skills("skills")).otherwise(derived)
-    return df.withColumn("skills", column)
+    return with_lowered(df).withColumn("skills", column).drop(LOWERED)
 
 
 def normalize(raw: DataFrame, source: str = "kaggle", keep: tuple[str, ...] = ()) -> DataFrame:

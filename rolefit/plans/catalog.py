@@ -208,7 +208,7 @@ def fill_and_strip(i: Inputs) -> DataFrame:
 @query
 def strip_html(i: Inputs) -> DataFrame:
     clean = text.strip_html(F.col("html"))
-    return i.table("pages").select("page_id", F.length(clean).alias("n_chars"), F.md5(clean).alias("text_md5"))
+    return i.texts("pages").select("page_id", F.length(clean).alias("n_chars"), F.md5(clean).alias("text_md5"))
 
 
 @query
@@ -262,20 +262,20 @@ def bloom_params(i: Inputs) -> DataFrame:
 
 @query
 def bloom_positions(i: Inputs) -> DataFrame:
-    docs = i.table("documents").select("doc_id", "text")
+    docs = i.texts("documents").select("doc_id", "text")
     size = dedup.bloom_params(docs, BLOOM_P).select(F.struct("m", "k").alias("s")).scalar()
     return dedup.bloom_bits(docs, F.col("text"), size["m"], size["k"]).select("doc_id", "i", "pos")
 
 
 @query
 def bloom_dedup(i: Inputs) -> DataFrame:
-    docs = i.table("documents").select("doc_id", "text", "lang")
+    docs = i.texts("documents").select("doc_id", "text", "lang")
     return dedup.bloom_dedup(docs, F.col("text"), "doc_id", BLOOM_P).select("doc_id", "lang")
 
 
 @query
 def bloom_false_positives(i: Inputs) -> DataFrame:
-    docs = i.table("documents").select("doc_id", "text", "lang")
+    docs = i.texts("documents").select("doc_id", "text", "lang")
     return dedup.bloom_false_positives(docs, F.col("text"), "doc_id", BLOOM_P).select("doc_id", "lang")
 
 
@@ -462,7 +462,7 @@ def tfidf_topk(i: Inputs) -> DataFrame:
 @query
 def tfidf_benchmark_topk(i: Inputs) -> DataFrame:
     """Passages of the benchmark table looked up in the whole texts of all documents."""
-    docs = i.table("documents").select(F.col("doc_id").alias("id"), "text")
+    docs = i.texts("documents").select(F.col("doc_id").alias("id"), "text")
     queries = i.table("benchmark").select(F.col("item_id").alias("id"), "text")
     return lexical.tfidf_topk(queries, docs, 5, spread=i.spread)
 
@@ -625,7 +625,7 @@ def summary_stats(i: Inputs) -> DataFrame:
 
 
 def words(i: Inputs) -> DataFrame:
-    return i.table("documents").select(F.explode(text.word_tokens(F.col("text"))).alias("word"))
+    return i.texts("documents").select(F.explode(text.word_tokens(F.col("text"))).alias("word"))
 
 
 @query

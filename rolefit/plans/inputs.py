@@ -21,6 +21,10 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return fixtures.table(self.spark, self.sf_dir, name)
 
+    def texts(self, name: str) -> DataFrame:
+        """A table of long texts, spread over all slots when it is small."""
+        return fixtures.spread_small(self.spark, self.sf_dir, name)
+
     @cached_property
     def raw(self) -> DataFrame:
         return fixtures.postings_raw(self.spark, self.sf_dir)

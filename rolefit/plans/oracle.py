@@ -501,7 +501,7 @@ q("summary_stats", """
 
 
 def sketch(items: str, bucket_of: str = "item") -> str:
-    return f"CAST(CAST('0x' || substr(md5(r || ':' || {bucket_of}), 1, 8) AS BIGINT) % 256 AS INTEGER)"
+    return f"CAST(CAST('0x' || substr(md5('0:' || {bucket_of}), CAST(8 * r + 1 AS INTEGER), 8) AS BIGINT) % 256 AS INTEGER)"
 
 
 def estimates(source: str, item: str, top: int) -> str:

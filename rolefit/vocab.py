@@ -123,6 +123,20 @@ DEFENSE_PATTERN = r"\b(?:defen[cs]e|military|lockheed|raytheon|northrop|weapons?
 SMALL_PATTERN = r"\b(?:early[- ]stage|seed|tiny|small (?:startup|team)|<\s*\d{1,2}\s*employees|stealth)\b"
 LARGE_PATTERN = r"\b(?:fortune|enterprise|\d{3,}\+? employees|large (?:company|team)|publicly traded)\b"
 
+# Our own hints like SKILL_CUES: every way to match a pattern above contains one of its cues.
+FLAG_CUES = {
+    "staff": ["staff", "principal", "distinguished"],
+    "senior": ["senior", "sr", "lead"],
+    "junior": ["junior", "jr", "entry", "intern", "grad"],
+    "contract": ["contract", "c2c", "corp", "1099", "temp", "part-time", "part time", "freelance", "duration", "engagement",
+                 "assignment", "project", "gig", "unpaid", "volunteer", "compensation"],
+    "no_sponsor": ["sponsor", "c2c", "corp", "citizen"],
+    "sponsor": ["sponsor", "h1b", "h-1b"],
+    "defense": ["defen", "military", "lockheed", "raytheon", "northrop", "weapon"],
+    "small": ["early", "seed", "tiny", "small", "<", "stealth"],
+    "large": ["fortune", "enterprise", "employees", "large", "publicly"],
+}
+
 # Employers known to be large, matched as substrings of the lower-cased name.
 LARGE_EMPLOYERS = [
     "google", "alphabet", "youtube", "amazon", "aws", "apple", "microsoft", "meta",

@@ -84,34 +84,64 @@ def _encode_sparse(batch: pa.RecordBatch) -> dict:
     }
 
 
-def _dense_matrix(row: dict, side: str) -> np.ndarray:
-    matrix = np.frombuffer(row[f"{side}_data"], "float32").reshape(len(row[f"{side}_ids"]), row[f"{side}_dim"]).astype("float64")
-    norms = np.sqrt((matrix * matrix).sum(axis=1))
-    return matrix / np.where(norms == 0, 1.0, norms)[:, None]
-
-
-def _sparse_parts(row: dict, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    offsets = np.frombuffer(row[f"{side}_offsets"], "int64")
-    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    return owner, np.frombuffer(row[f"{side}_terms"], "int32"), np.frombuffer(row[f"{side}_data"], "float64")
-
-
-def _dense_scores(row: dict) -> Callable[[int, int], np.ndarray]:
-    queries, docs = _dense_matrix(row, "q"), _dense_matrix(row, "d").T
-    return lambda lo, hi: queries[lo:hi] @ docs
-
-
-def _sparse_scores(row: dict) -> Callable[[int, int], np.ndarray]:
-    """Scores over the terms the queries use; other document terms cannot contribute."""
-    q_owner, q_terms, q_weights = _sparse_parts(row, "q")
-    d_owner, d_terms, d_weights = _sparse_parts(row, "d")
-    used = np.unique(q_terms)
-    queries = np.zeros((len(row["q_ids"]), len(used)))
-    queries[q_owner, np.searchsorted(used, q_terms)] = q_weights
-    shared = np.isin(d_terms, used)
-    docs = np.zeros((len(used), len(row["d_ids"])))
-    docs[np.searchsorted(used, d_terms[shared]), d_owner[shared]] = d_weights[shared]
-    return lambda lo, hi: queries[lo:hi] @ docs
+class _Dense:
+    """Ids and unit vectors of one packed row."""
+
+    def __init__(self, ids: pa.Array, matrix: np.ndarray):
+        self.ids, self.matrix = ids, matrix
+
+    @classmethod
+    def unpack(cls, row: dict, side: str, id_type: pa.DataType) -> _Dense:
+        raw = np.frombuffer(row[f"{side}_data"], "float32").astype("float64").reshape(len(row[f"{side}_ids"]), row[f"{side}_dim"])
+        norms = np.sqrt((raw * raw).sum(axis=1))
+        return cls(pa.array(row[f"{side}_ids"], id_type), raw / np.where(norms == 0, 1.0, norms)[:, None])
+
+    @classmethod
+    def merge(cls, parts: list[_Dense]) -> _Dense:
+        """All parts, ordered by id."""
+        ids = pa.concat_arrays([p.ids for p in parts])
+        order = pc.sort_indices(ids).to_numpy()
+        return cls(ids.take(pa.array(order)), np.concatenate([p.matrix for p in parts])[order])
+
+    def scores(self, docs: _Dense) -> Callable[[int, int], np.ndarray]:
+        flipped = docs.matrix.T
+        return lambda lo, hi: self.matrix[lo:hi] @ flipped
+
+
+class _Sparse:
+    """Ids and weighted terms of one packed row."""
+
+    def __init__(self, ids: pa.Array, owner: np.ndarray, terms: np.ndarray, weights: np.ndarray):
+        self.ids, self.owner, self.terms, self.weights = ids, owner, terms, weights
+
+    @classmethod
+    def unpack(cls, row: dict, side: str, id_type: pa.DataType) -> _Sparse:
+        offsets = np.frombuffer(row[f"{side}_offsets"], "int64")
+        owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        return cls(pa.array(row[f"{side}_ids"], id_type), owner, np.frombuffer(row[f"{side}_terms"], "int32"),
+                   np.frombuffer(row[f"{side}_data"], "float64"))
+
+    @classmethod
+    def merge(cls, parts: list[_Sparse]) -> _Sparse:
+        """All parts, ordered by id."""
+        ids = pa.concat_arrays([p.ids for p in parts])
+        order = pc.sort_indices(ids).to_numpy()
+        place = np.empty(len(order), dtype="int64")
+        place[order] = np.arange(len(order))
+        starts = np.cumsum([0] + [len(p.ids) for p in parts])
+        owner = np.concatenate([p.owner + start for p, start in zip(parts, starts)])
+        return cls(ids.take(pa.array(order)), place[owner], np.concatenate([p.terms for p in parts]),
+                   np.concatenate([p.weights for p in parts]))
+
+    def scores(self, docs: _Sparse) -> Callable[[int, int], np.ndarray]:
+        """Scores over the terms the queries use; other document terms cannot contribute."""
+        used = np.unique(self.terms)
+        mine = np.zeros((len(self.ids), len(used)))
+        mine[self.owner, np.searchsorted(used, self.terms)] = self.weights
+        shared = np.isin(docs.terms, used)
+        theirs = np.zeros((len(used), len(docs.ids)))
+        theirs[np.searchsorted(used, docs.terms[shared]), docs.owner[shared]] = docs.weights[shared]
+        return lambda lo, hi: mine[lo:hi] @ theirs
 
 
 def _best(scores: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -129,19 +159,36 @@ def _best(scores: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np
 
 
 class _Running:
-    """Best documents so far for one pack of queries inside one task."""
+    """Best documents so far for one pack of queries inside one task.
+
+    Documents wait until there are enough of them for one multiplication, so small packs cost
+    little and lists shorter than k are not carried along.
+    """
 
-    def __init__(self, query_ids: pa.Array, k: int):
-        self.query_ids, self.k = query_ids, k
-        self.floor = np.full(len(query_ids), -np.inf)
+    def __init__(self, queries: _Dense | _Sparse, k: int):
+        self.queries, self.query_ids, self.k = queries, queries.ids, k
+        self.floor = np.full(len(queries.ids), -np.inf)
         self.held: list[pa.Table] = []
         self.size = 0
-
-    def add(self, first: int, scores: np.ndarray, doc_ids: pa.Array) -> None:
-        rows, cols = _best(scores, self.floor[first:first + len(scores)], self.k)
-        self.held.append(pa.table({"row": rows + first, "doc_id": doc_ids.take(pa.array(cols)),
-                                   "similarity": scores[rows, cols]}))
-        self.size += len(rows)
+        self.waiting: list[_Dense | _Sparse] = []
+
+    def add(self, docs: _Dense | _Sparse) -> None:
+        self.waiting.append(docs)
+        if sum(len(d.ids) for d in self.waiting) >= DOCS_PER_PACK:
+            self.flush()
+
+    def flush(self) -> None:
+        if not self.waiting:
+            return
+        docs = type(self.queries).merge(self.waiting)
+        self.waiting = []
+        score = self.queries.scores(docs)
+        step = max(1, CELLS_PER_SLICE // len(docs.ids))
+        for lo in range(0, len(self.query_ids), step):
+            cells = np.round(score(lo, lo + step), DIGITS)
+            rows, cols = _best(cells, self.floor[lo:lo + len(cells)], self.k)
+            self.held.append(pa.table({"row": rows + lo, "doc_id": docs.ids.take(pa.array(cols)), "similarity": cells[rows, cols]}))
+            self.size += len(rows)
         if self.size > 2 * self.k * len(self.query_ids):
             self.compact()
 
@@ -157,6 +204,7 @@ class _Running:
         self.size = self.held[0].num_rows
 
     def release(self) -> Iterator[pa.RecordBatch]:
+        self.flush()
         for held in self.held:
             for batch in held.to_batches(max_chunksize=100_000):
                 yield pa.RecordBatch.from_arrays(
@@ -166,20 +214,22 @@ class _Running:
 
 
 def _topk_rows(sparse: bool, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    kind = _Sparse if sparse else _Dense
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         running: dict[object, _Running] = {}
+        last_doc, docs = None, None
         for batch in batches:
             q_type, d_type = batch.column("q_ids").type.value_type, batch.column("d_ids").type.value_type
             for i in range(batch.num_rows):
-                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-                q_ids, d_ids = pa.array(row["q_ids"], q_type), pa.array(row["d_ids"], d_type)
-                order = pc.sort_indices(d_ids).to_numpy()
-                d_ids = d_ids.take(pa.array(order))
-                score = (_sparse_scores if sparse else _dense_scores)(row)
-                best = running.setdefault(row["q_ids"][0], _Running(q_ids, k))
-                step = max(1, CELLS_PER_SLICE // max(1, len(d_ids)))
-                for lo in range(0, len(q_ids), step):
-                    best.add(lo, np.round(score(lo, lo + step)[:, order], DIGITS), d_ids)
+                first_query, first_doc = batch.column("q_ids")[i][0].as_py(), batch.column("d_ids")[i][0].as_py()
+                if first_query not in running:
+                    row = {n: batch.column(n)[i].as_py() for n in batch.schema.names if n.startswith("q_")}
+                    running[first_query] = _Running(kind.unpack(row, "q", q_type), k)
+                if first_doc != last_doc:
+                    row = {n: batch.column(n)[i].as_py() for n in batch.schema.names if n.startswith("d_")}
+                    last_doc, docs = first_doc, kind.unpack(row, "d", d_type)
+                running[first_query].add(docs)
                 if sum(x.size for x in running.values()) > HELD_ROWS:
                     for other in running.values():
                         yield from other.release()
@@ -196,8 +246,9 @@ def topk(queries: DataFrame, docs: DataFrame, k: int, sparse: bool = False, spre
     ``queries`` and ``docs`` have columns id and vec; vec is an array of floats, or of
     struct<term_id, weight> when ``sparse``. Equal similarities are ranked by document id.
 
-    ``spread`` splits the queries into that many blocks when the documents are too few to keep a
-    cluster busy; documents are copied once per block, so leave it at 1 for large collections.
+    ``spread`` splits the queries into that many blocks, one task each, when the documents are too
+    few to keep a cluster busy. Documents are copied once per block, so leave it at 1 for large
+    collections: then they stay where they are and each task keeps its own best k per query.
     """
     q_type, d_type = queries.schema["id"].dataType, docs.schema["id"].dataType
     encode = _encode_sparse if sparse else _encode_dense
@@ -220,7 +271,7 @@ def topk(queries: DataFrame, docs: DataFrame, k: int, sparse: bool = False, spre
     d = d.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     q = q.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     if small and blocks > 1:
-        d = d.repartition(blocks, "block", F.col("ids")[0])
+        d = d.repartition(blocks, "block")
 
     q = q.select("block", "salt", *[F.col(c).alias(f"q_{c}") for c in ("ids", "offsets", "terms", "data", "dim")])
     d = d.select("block", "salt", *[F.col(c).alias(f"d_{c}") for c in ("ids", "offsets", "terms", "data", "dim")])

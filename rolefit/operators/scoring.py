@@ -127,10 +127,11 @@ def passes_visa() -> Column:
     return F.coalesce(~F.col("p_needs_visa") | F.col("sponsors_visa"), F.lit(True))
 
 
+# Cheapest first: they are evaluated in this order and stop at the first that fails.
 HARD_FILTERS = {
-    "f_salary": passes_salary, "f_us_only": passes_us_only, "f_locations": passes_locations,
-    "f_contract": passes_contract, "f_seniority": passes_seniority, "f_years": passes_years,
-    "f_industry": passes_industry, "f_company_size": passes_company_size, "f_visa": passes_visa,
+    "f_salary": passes_salary, "f_contract": passes_contract, "f_seniority": passes_seniority, "f_years": passes_years,
+    "f_industry": passes_industry, "f_visa": passes_visa, "f_company_size": passes_company_size,
+    "f_us_only": passes_us_only, "f_locations": passes_locations,
 }
 
 

@@ -69,7 +69,7 @@ class Inputs:
     @property
     def spread(self) -> int:
         """Query blocks for the small posting sets of the given tables."""
-        return self.spark.sparkContext.defaultParallelism
+        return 4 * self.spark.sparkContext.defaultParallelism
 
     @cached_property
     def candidates(self) -> DataFrame:

@@ -470,8 +470,10 @@ def tfidf_benchmark_topk(i: Inputs) -> DataFrame:
 # --- filters -----------------------------------------------------------------------------------
 
 def _filter(name: str) -> None:
+    """For how many and which profiles (sum of their ids) a rule keeps or drops each posting."""
     def build(i: Inputs) -> DataFrame:
-        return i.pairs.select("profile_id", "job_id", scoring.HARD_FILTERS[name]().alias("stays"))
+        ruled = i.pairs.select("profile_id", "job_id", scoring.HARD_FILTERS[name]().alias("stays"))
+        return ruled.groupBy("job_id", "stays").agg(F.count(F.lit(1)).alias("n"), F.sum("profile_id").alias("profile_sum"))
 
     build.__name__ = name
     query(build)
@@ -499,14 +501,23 @@ def f_excluded(i: Inputs) -> DataFrame:
 # --- scoring -----------------------------------------------------------------------------------
 
 def _signal(signal: str) -> None:
+    """For how many and which profiles (sum of their ids) a posting gets each value of a signal."""
     def build(i: Inputs) -> DataFrame:
-        return i.pairs.select("profile_id", "job_id", F.round(scoring.signals()[signal], 9).alias(signal))
+        valued = i.pairs.select("profile_id", "job_id", F.round(scoring.signals()[signal], 9).alias(signal))
+        return valued.groupBy("job_id", signal).agg(F.count(F.lit(1)).alias("n"), F.sum("profile_id").alias("profile_sum"))
 
     build.__name__ = f"sig_{signal}"
     query(build)
 
 
-for _name in vocab.SIGNALS:
+@query
+def sig_similarity(i: Inputs) -> DataFrame:
+    """Similarities of each posting summed over its pairs, in units of the last digit kept."""
+    units = F.round(F.col("breakdown.similarity") * 1e9).cast("bigint")
+    return ranking.score(i.pairs).groupBy("job_id").agg(F.count(F.lit(1)).alias("n"), F.sum(units).alias("similarity_sum"))
+
+
+for _name in vocab.SIGNALS[1:]:
     _signal(_name)
 
 
@@ -742,10 +753,12 @@ def stream_ingest(i: Inputs) -> DataFrame:
 
 @query
 def stream_bloom(i: Inputs) -> DataFrame:
-    base = shared_dir(i.spark, "bloom")
-    landing.land_rows(canonical(i), base + "/in", 2)
+    base, repost = shared_dir(i.spark, "bloom"), F.col("seq") >= 1000000
+    rows = canonical(i).select("seq", "job_id", "title")
+    for part in (rows.filter(~repost), rows.filter(repost)):  # two arrivals, hence two batches
+        landing.land_rows(part, base + "/in", 2, "append")
     sink = ingest.BloomSink(i.spark, base + "/out", F.col("job_id"), "seq", MEMBERSHIP)
-    runs.run_batches(runs.read_landed(i.spark, base + "/in", canonical(i).schema, max_files=1), sink, base + "/checkpoint")
+    runs.run_batches(runs.read_landed(i.spark, base + "/in", rows.schema, max_files=2), sink, base + "/checkpoint")
     return sink.kept().select("job_id", "seq")
 
 
@@ -794,7 +807,8 @@ def row_serde(i: Inputs) -> DataFrame:
 def learner_stream(i: Inputs) -> DataFrame:
     base = shared_dir(i.spark, "learner")
     events = feedback_events(i).select("profile_id", "seq", "x", "reward")
-    landing.land_rows(events, base + "/in", 2)
+    for part in (events.filter(F.col("seq") <= early(i)), events.filter(F.col("seq") > early(i))):
+        landing.land_rows(part, base + "/in", 2, "append")
     sink = learner.LearnerSink(i.spark, base + "/states", learning.fresh_state(i.profiles))
-    runs.run_batches(runs.read_landed(i.spark, base + "/in", events.schema, max_files=1), sink, base + "/checkpoint")
+    runs.run_batches(runs.read_landed(i.spark, base + "/in", events.schema, max_files=2), sink, base + "/checkpoint")
     return learning.latest_per_profile(i.spark.read.parquet(base + "/states")).select("profile_id", "n_seen", *_weight_columns())

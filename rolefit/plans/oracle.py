@@ -422,11 +422,12 @@ q("tfidf_benchmark_topk", "SELECT query_id, doc_id, similarity, rank FROM tf_ran
 
 # --- filters and scores
 for _name in ("f_salary", "f_us_only", "f_locations", "f_contract", "f_seniority", "f_years", "f_industry", "f_company_size", "f_visa"):
-    q(_name, f"SELECT profile_id, job_id, {_name} AS stays FROM pairs", "pairs")
+    q(_name, f"SELECT job_id, {_name} AS stays, count(*) AS n, sum(profile_id)::BIGINT AS profile_sum FROM pairs GROUP BY ALL", "pairs")
 q("hard_filters", "SELECT profile_id, job_id FROM scored", "scored")
 q("f_excluded", "SELECT profile_id, job_id FROM scored ANTI JOIN excluded USING (profile_id, job_id)", "scored", "excluded")
-for _name in vocab.SIGNALS:
-    q(f"sig_{_name}", f"SELECT profile_id, job_id, round(bd.{_name}, 9) AS {_name} FROM pairs", "pairs")
+for _name in vocab.SIGNALS[1:]:
+    q(f"sig_{_name}", f"SELECT job_id, round(bd.{_name}, 9) AS {_name}, count(*) AS n, sum(profile_id)::BIGINT AS profile_sum FROM pairs GROUP BY 1, 2", "pairs")
+q("sig_similarity", "SELECT job_id, count(*) AS n, sum(CAST(round(bd.similarity * 1e9) AS BIGINT))::BIGINT AS similarity_sum FROM pairs GROUP BY 1", "pairs")
 q("score", "SELECT profile_id, job_id, score FROM scored", "scored")
 q("rank_topk", "SELECT profile_id, rank, job_id, title, company, similarity, score FROM ranked", "ranked")
 q("rank_counts", """
@@ -541,6 +542,9 @@ q("candidate_pool", """
 
 # --- streaming
 q("stream_ingest", "SELECT job_id, title, company FROM postings", "postings")
+_fix = bloom_blocks("fix", "normalized", "job_id", "seq", 0.01)
+_fix["fix_size"] = ([], f"SELECT 0 AS cnt, 0 AS n, {MEMBERSHIP[0]}::BIGINT AS m, {MEMBERSHIP[1]}::BIGINT AS k")
+q("stream_bloom", "SELECT key AS job_id, first_seq AS seq FROM fix_verdict WHERE NOT dropped", "fix_verdict", extra=_fix)
 q("stream_ack", "SELECT seq, job_id FROM normalized", "normalized")
 q("stream_progress", "SELECT count(*) AS total_seen FROM normalized", "normalized")
 q("stream_live_merge", """

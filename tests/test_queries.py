@@ -29,7 +29,7 @@ def test_same_as_sql(spark, db, sf_dir, name):
 
 def test_every_twin_belongs_to_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"sample_by_offset", "epsilon_greedy", "stream_bloom"}
+    assert set(QUERIES) - set(ORACLE) == {"sample_by_offset", "epsilon_greedy"}
 
 
 def test_both_sides_use_the_same_stop_words(spark):

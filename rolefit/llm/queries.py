@@ -11,12 +11,30 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rolefit.llm.simhash import fingerprint_links
+
+    return fingerprint_links(_table(spark, sf_dir, "documents"))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rolefit.llm.mixing import mix
 
     return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rolefit.llm.pii import personal_data
+
+    return personal_data(_table(spark, sf_dir, "documents"))
+
+
+def op6_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rolefit.llm.quality import quality_scores
+
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rolefit.llm.maxscore import top_products
 
@@ -38,6 +56,6 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_source_mix, op7_top_products, op8_license_scan, op9_token_files)
+    f.__name__: f for f in (op2_simhash_fingerprints, op4_source_mix, op5_personal_data, op6_quality_scores, op7_top_products, op8_license_scan, op9_token_files)
 }
 ORACLE: dict[str, str] = {}

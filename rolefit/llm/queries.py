@@ -11,6 +11,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rolefit.llm.minhash import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents")).drop("row_id")
+
+
 def op2_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rolefit.llm.simhash import fingerprint_links
 
@@ -56,6 +62,6 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_simhash_fingerprints, op4_source_mix, op5_personal_data, op6_quality_scores, op7_top_products, op8_license_scan, op9_token_files)
+    f.__name__: f for f in (op1_near_duplicates, op2_simhash_fingerprints, op4_source_mix, op5_personal_data, op6_quality_scores, op7_top_products, op8_license_scan, op9_token_files)
 }
 ORACLE: dict[str, str] = {}

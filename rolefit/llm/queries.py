@@ -23,6 +23,14 @@ def op2_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_links(_table(spark, sf_dir, "documents"))
 
 
+def op3_piece_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from rolefit.llm.pieces import encode_documents
+
+    return encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rolefit.llm.mixing import mix
 
@@ -62,6 +70,6 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_duplicates, op2_simhash_fingerprints, op4_source_mix, op5_personal_data, op6_quality_scores, op7_top_products, op8_license_scan, op9_token_files)
+    f.__name__: f for f in (op1_near_duplicates, op2_simhash_fingerprints, op3_piece_codes, op4_source_mix, op5_personal_data, op6_quality_scores, op7_top_products, op8_license_scan, op9_token_files)
 }
 ORACLE: dict[str, str] = {}

@@ -69,7 +69,13 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rolefit.llm.suffixes import without_repeats
+
+    return without_repeats(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_duplicates, op2_simhash_fingerprints, op3_piece_codes, op4_source_mix, op5_personal_data, op6_quality_scores, op7_top_products, op8_license_scan, op9_token_files)
+    f.__name__: f for f in (op1_near_duplicates, op2_simhash_fingerprints, op3_piece_codes, op4_source_mix, op5_personal_data, op6_quality_scores, op7_top_products, op8_license_scan, op9_token_files, op10_repeated_spans)
 }
 ORACLE: dict[str, str] = {}

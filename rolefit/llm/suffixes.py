@@ -26,7 +26,7 @@ LENGTH, GRAM = 400, 64
 #: Window starts that are looked at together.
 BLOCK = 2**20 - 1024
 #: Different surroundings of one anchor that a task compares; more are compared by a shuffle of their windows.
-TOGETHER = 512
+TOGETHER = 8_192
 _TABLE = np.random.default_rng(77).integers(0, 2**63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 2**64)
 _POWERS: dict[int, np.ndarray] = {}

@@ -134,5 +134,5 @@ def pretty_skill(c: Column) -> Column:
     Title case starts a new word after every character that is not a letter.
     """
     pieces = F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}]+|[^\p{L}]+"), F.lit(0))
-    titled = F.array_join(F.transform(pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 1000))), "")
+    titled = F.array_join(F.transform(pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substr(p, F.lit(2)))), "")
     return F.when(F.length(c) > 3, titled).otherwise(F.upper(c))

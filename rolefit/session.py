@@ -29,6 +29,7 @@ def local_session(cores: int | str = 8, memory: str = "12g", shuffle_partitions:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.checkpoint.dir", os.path.join(tempfile.gettempdir(), "rolefit"))
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
@@ -40,9 +41,9 @@ def local_session(cores: int | str = 8, memory: str = "12g", shuffle_partitions:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor of a cluster sees.
 
-    Only where the setting is missing (tests on one machine) a local folder takes its place.
+    Where the setting is missing, the session's warehouse takes its place: executors share it as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        base = os.path.join(tempfile.gettempdir(), "rolefit")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolefit.operators.dedup import bloom_bitmap, bloom_verdict
-from rolefit.streaming.runs import table_or_none
+from rolefit.operators.dedup import bloom_bitmap, bloom_membership, bloom_verdict, first_per_key
+from rolefit.streaming.runs import newest_batch, table_or_none
 
 SALTS = 16
+#: Keys of a batch that are sent to every task.
+FEW_KEYS = 200_000
 
 
 def drop_repeats(stream: DataFrame, key: str = "job_id", salts: int = SALTS, watermark: tuple[str, str] | None = None) -> DataFrame:
@@ -27,30 +31,80 @@ def drop_repeats(stream: DataFrame, key: str = "job_id", salts: int = SALTS, wat
     return salted.dropDuplicates([key, "_salt"]).drop("_salt").dropDuplicates([key])
 
 
+class FirstArrivals:
+    """Keeps the first row of each key, by ``order``, batch by batch.
+
+    Within a batch the least row per key is taken, then keys of earlier batches are left out. Kept rows
+    are stored under the batch's id, so a repeated batch replaces its output.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, order: str):
+        self.spark, self.path, self.key, self.order = spark, path, key, order
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        fresh, seen = first_per_key(batch, self.key, self.order), table_or_none(self.spark, self.path)
+        if seen is not None:
+            keys = batch.select(self.key).distinct()
+            if keys.count() <= FEW_KEYS:  # of one batch: the stored keys are read where they lie, not shuffled
+                keys = F.broadcast(keys)
+            known = seen.filter(F.col("batch") < batch_id).select(self.key).join(keys, self.key, "left_semi")
+            fresh = fresh.join(known, self.key, "left_anti")
+        fresh.select(batch.columns).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+    def kept(self) -> DataFrame:
+        return self.spark.read.parquet(self.path)
+
+
 class BloomSink:
     """Bloom deduplication batch by batch, the filter being a table of bitmaps.
 
-    Each batch writes its kept rows and its new bits under its own id, so a batch that is repeated
-    after a failure replaces what it wrote before. The filter is the union of earlier bits.
+    The filter is sized for ``expected`` keys at false-positive rate ``p``. When a batch could overfill it, a
+    further generation of at least twice the size and half the rate takes the new keys, and earlier ones are only
+    asked; so the rate stays below 2 p however many keys arrive. Each batch writes its kept rows and the whole
+    filter under its own id and reads the filter of the batch before: a repeated batch replaces what it wrote.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: Column, order: str, size: tuple[int, int]):
-        self.spark, self.key, self.order, self.size = spark, key, order, size
+    def __init__(self, spark: SparkSession, path: str, key: Column, order: str, expected: int, p: float = 0.01):
+        self.spark, self.key, self.order, self.expected, self.p = spark, key, order, max(expected, 1000), p
         self.rows_path, self.bits_path = f"{path}/rows", f"{path}/bits"
 
-    def bits_before(self, batch_id: int) -> DataFrame | None:
-        bits = table_or_none(self.spark, self.bits_path)
-        if bits is None:
-            return None
-        return bits.filter(F.col("batch") < batch_id).groupBy("bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    def _generation(self, number: int, capacity: int) -> dict:
+        n, p = max(capacity, 1), self.p / 2 ** number
+        m = max(8, math.floor(-n * math.log(p) / math.log(2) ** 2))
+        return {"gen": number, "m": m, "k": max(1, math.floor(m / n * math.log(2))), "capacity": capacity, "held": 0}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        verdict = bloom_verdict(batch, self.key, self.order, size=self.size, prior=self.bits_before(batch_id))
+        saved = newest_batch(self.spark, self.bits_path, batch_id)
+        # One row per generation, as many as the logarithm of the keys.
+        known = [] if saved is None else [r.asDict() for r in saved.filter("bucket IS NULL").drop("bucket", "bitmap").orderBy("gen").collect()]
+        generations = known or [self._generation(0, self.expected)]
+        rows = batch.select(self.key.alias("_key"), F.col(self.order))
+        arriving = rows.select("_key").distinct().count()
+        if generations[-1]["held"] + arriving > generations[-1]["capacity"]:
+            if not generations[-1]["held"]:  # still empty: made larger at once
+                generations.pop()
+            before = generations[-1]["capacity"] if generations else 0
+            generations.append(self._generation(len(generations), max(2 * before, arriving)))
+        now = generations[-1]
+        bitmaps = lambda g: None if saved is None else saved.filter((F.col("gen") == g["gen"]) & F.col("bucket").isNotNull()).select("bucket", "bitmap")
+        for old in generations[:-1]:
+            seen = bloom_membership(rows, F.col("_key"), bitmaps(old), F.lit(old["m"]), F.lit(old["k"])).filter("maybe_seen")
+            rows = rows.join(seen.select(F.col("key").alias("_key")), "_key", "left_anti")
+        verdict = bloom_verdict(rows, F.col("_key"), self.order, size=(now["m"], now["k"]), prior=bitmaps(now) if now in known else None)
         kept = verdict.filter(~F.col("dropped")).select(F.col("first_seq").alias(self.order))
         batch.join(kept, self.order, "left_semi").write.mode("overwrite").parquet(f"{self.rows_path}/batch={batch_id}")
-        m, k = (F.lit(x).cast("bigint") for x in self.size)
-        stored = self.spark.read.parquet(f"{self.rows_path}/batch={batch_id}")
-        bloom_bitmap(stored, self.key, m, k).write.mode("overwrite").parquet(f"{self.bits_path}/batch={batch_id}")
+        stored = self.spark.read.schema(batch.schema).parquet(f"{self.rows_path}/batch={batch_id}")
+        bits = bloom_bitmap(stored, self.key, F.lit(now["m"]).cast("bigint"), F.lit(now["k"]).cast("bigint"))
+        if now in known:
+            bits = bits.unionByName(bitmaps(now)).groupBy("bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+        held = {**now, "held": now["held"] + stored.count()}
+        heads = self.spark.createDataFrame([{**g, **(held if g is now else {})} for g in generations], "gen int, m bigint, k bigint, capacity bigint, held bigint")
+        told = heads.withColumns({"bucket": F.lit(None).cast("bigint"), "bitmap": F.lit(None).cast("binary")})
+        fresh = bits.select(*[F.lit(held[c]).cast(t).alias(c) for c, t in (("gen", "int"), ("m", "bigint"), ("k", "bigint"), ("capacity", "bigint"), ("held", "bigint"))], "bucket", "bitmap")
+        out = told.unionByName(fresh)
+        if saved is not None:
+            out = out.unionByName(saved.filter((F.col("gen") != now["gen"]) & F.col("bucket").isNotNull()))
+        out.write.mode("overwrite").parquet(f"{self.bits_path}/batch={batch_id}")
 
     def kept(self) -> DataFrame:
         return self.spark.read.parquet(self.rows_path)

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from rolefit.operators.learning import latest_per_profile, learner_fold
-from rolefit.streaming.runs import table_or_none
+from rolefit.operators.learning import learner_fold
+from rolefit.streaming.runs import newest_batch
 
 STATE = ["profile_id", "weights", "baseline", "n_seen", "lr"]
 
@@ -14,22 +13,20 @@ STATE = ["profile_id", "weights", "baseline", "n_seen", "lr"]
 class LearnerSink:
     """Folds each batch of events into the saved state of its profiles.
 
-    A batch writes the states it changed under its own id and starts from those of earlier ids, so
-    repeating a batch gives the same result. Events of one profile must arrive in order.
+    A batch starts from what the batch before it wrote and writes the state of every profile under its
+    own id, so it reads one state per profile however many batches came before, and repeating it
+    gives the same result. Events of one profile must arrive in order.
     """
 
     def __init__(self, spark: SparkSession, path: str, fresh: DataFrame):
         self.spark, self.path, self.fresh = spark, path, fresh
 
     def state_before(self, batch_id: int | None = None) -> DataFrame:
-        saved = table_or_none(self.spark, self.path)
-        if saved is None:
-            return self.fresh
-        if batch_id is not None:
-            saved = saved.filter(F.col("batch") < batch_id)
-        newest = latest_per_profile(saved).select(STATE)
-        return newest.unionByName(self.fresh.join(newest.select("profile_id"), "profile_id", "left_anti"))
+        saved = newest_batch(self.spark, self.path, batch_id)
+        return self.fresh.select(STATE) if saved is None else saved.select(STATE)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        states = learner_fold(batch, self.state_before(batch_id)).select(STATE)
+        before = self.state_before(batch_id)
+        moved = learner_fold(batch, before).select(STATE)
+        states = moved.unionByName(before.join(batch.select("profile_id").distinct(), "profile_id", "left_anti").select(STATE))
         states.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -37,10 +38,37 @@ def run_batches(stream: DataFrame, handle, checkpoint: str) -> StreamingQuery:
 
 
 def progress(query: StreamingQuery) -> list[tuple[int, int, float]]:
-    """(batch_id, rows, rows per second) of the query's latest batches."""
+    """(batch_id, rows, rows per second) of the query's latest batches; older ones are forgotten, see CountedTable."""
     return [(p["batchId"], p["numInputRows"], float(p["processedRowsPerSecond"])) for p in query.recentProgress]
 
 
+class CountedTable:
+    """Writes each batch and the number of its rows under the batch's id: every batch ever is counted, and once."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.rows_path, self.counts_path = spark, f"{path}/rows", f"{path}/counts"
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{self.rows_path}/batch={batch_id}")
+        written = self.spark.read.schema(batch.schema).parquet(f"{self.rows_path}/batch={batch_id}")
+        written.agg(F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{self.counts_path}/batch={batch_id}")
+
+    def counts(self) -> DataFrame:
+        """batch, rows."""
+        return self.spark.read.parquet(self.counts_path)
+
+
+def newest_batch(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """What the latest batch (below ``before``) wrote under ``path``, or None; earlier batches are not read."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(hadoop):
+        return None
+    ids = [int(name.removeprefix("batch=")) for name in (s.getPath().getName() for s in files.listStatus(hadoop)) if name.startswith("batch=")]
+    ids = [i for i in ids if before is None or i < before]
+    return spark.read.parquet(f"{path}/batch={max(ids)}") if ids else None
+
+
 def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """A table written by earlier batches, or None before the first one."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

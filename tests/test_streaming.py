@@ -23,10 +23,45 @@ def test_stream_dedup_keeps_each_key_once(spark, arrivals, tmp_path):
     assert sum(rows for _, rows, _ in runs.progress(query)) == 600
 
 
+def test_first_arrivals_keep_the_least_row(spark, arrivals, tmp_path):
+    sink = ingest.FirstArrivals(spark, f"{tmp_path}/out", "job_id", "seq")
+    for n, part in enumerate(("seq < 100", "seq BETWEEN 100 AND 450", "seq BETWEEN 100 AND 450", "seq > 450")):
+        sink(arrivals.filter(part).orderBy(F.desc("seq")), min(n, 2) if n < 3 else 3)
+    first = {}
+    for r in sorted(arrivals.collect()):
+        first.setdefault(r["job_id"], r["seq"])
+    assert {r["job_id"]: r["seq"] for r in sink.kept().collect()} == first
+
+
+def test_every_batch_is_counted(spark, arrivals, tmp_path):
+    """More batches than the engine remembers."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        arrivals.repartitionByRange(9, "seq").write.json(f"{tmp_path}/in")
+        sink = runs.CountedTable(spark, f"{tmp_path}/out")
+        query = runs.run_batches(runs.read_landed(spark, f"{tmp_path}/in", arrivals.schema, max_files=1), sink, f"{tmp_path}/checkpoint")
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert len(runs.progress(query)) < 9 and sink.counts().count() == 9
+    assert sink.counts().agg(F.sum("rows")).first()[0] == 600
+
+
+def test_bloom_filter_grows_and_loses_few(spark, tmp_path):
+    """50,000 different keys through a filter made for 10,000: lost keys stay within twice the rate."""
+    sink = ingest.BloomSink(spark, str(tmp_path), F.col("job_id"), "seq", expected=10_000, p=0.01)
+    rows = spark.range(50_000).select((F.col("id") * 2 + 3_000_000).alias("seq"), F.concat(F.lit("k"), "id").alias("job_id"))
+    for n in range(3):
+        sink(rows.filter(F.pmod("seq", F.lit(3)) == n), n)
+    kept = sink.kept()
+    assert kept.count() >= 50_000 * 0.98 and kept.count() == kept.select("job_id").distinct().count()
+    sink(rows, 3)
+    assert sink.kept().filter("batch = 3").count() <= 50_000 - kept.filter("batch < 3").count()
+
+
 def test_bloom_batches_equal_one_batch(spark, arrivals, tmp_path):
     """Two batches through the sink keep what the filter keeps when it reads everything at once."""
-    size = (257, 2)
-    sink = ingest.BloomSink(spark, str(tmp_path), F.col("job_id"), "seq", size)
+    sink = ingest.BloomSink(spark, str(tmp_path), F.col("job_id"), "seq", expected=1000, p=0.3)
+    size = (sink._generation(0, 1000)["m"], sink._generation(0, 1000)["k"])
     sink(arrivals.filter("seq < 250"), 0)
     sink(arrivals.filter("seq >= 250"), 1)
     sink(arrivals.filter("seq >= 250"), 1)  # a repeated batch changes nothing

@@ -61,7 +61,8 @@ def ats_match(pairs: DataFrame, postings: DataFrame, profiles: DataFrame) -> Dat
 
     Both sides are reduced to keyword lists once, so a pair costs two list operations.
     """
-    joined = pairs.select("profile_id", "job_id", "rank").join(job_keywords(postings), "job_id").join(
+    wanted = postings.join(pairs.select("job_id").distinct(), "job_id", "left_semi")
+    joined = pairs.select("profile_id", "job_id", "rank").join(job_keywords(wanted), "job_id").join(
         profile_keywords(profiles), "profile_id")
     covered = F.filter("keywords", lambda k: F.array_contains("known", k))
     n = F.size("keywords")

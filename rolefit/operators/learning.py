@@ -113,7 +113,7 @@ def feedback_exclusions(feedback: DataFrame) -> DataFrame:
 def epsilon_greedy(scored: DataFrame, k: int, epsilon: float = vocab.EPSILON, seed: int = 0) -> DataFrame:
     """k picks per profile: the best remaining item, or with probability epsilon a random one.
 
-    ``scored`` holds a bounded candidate list per profile (the served top list), ranked. Draws are
+    ``scored`` holds the candidates of each profile, ranked; retrieval bounds their number. Draws are
     hashes of (seed, profile, step), so a rerun picks the same items. The fold pops from the list.
     """
     listed = scored.groupBy("profile_id").agg(F.array_sort(F.collect_list(F.struct("rank", "job_id"))).alias("pool"))

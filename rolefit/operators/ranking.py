@@ -12,6 +12,8 @@ N_CANDIDATES = 1000
 TOP_K = 50
 SERVED = 25
 SHOWN = 10
+#: Posting columns that neither filters, signals nor ranking read: they join the ranked rows alone.
+LATE = ["description", "url"]
 
 
 def candidates(profile_vectors: DataFrame, posting_vectors: DataFrame, n: int = N_CANDIDATES, spread: int = 1) -> DataFrame:
@@ -30,11 +32,17 @@ def pair_up(found: DataFrame, profiles: DataFrame, postings: DataFrame, weights:
     AQE splits; the other side is unique per key.
     """
     return (
-        found.join(prepare_postings(postings), "job_id")
-        .join(prepare_profiles(profiles, weights), "profile_id")
+        found.join(prepare_postings(postings.drop(*LATE)), "job_id")
+        .join(prepare_profiles(profiles, weights).drop("p_resume"), "profile_id")
     )
 
 
+def with_texts(ranked: DataFrame, profiles: DataFrame, postings: DataFrame) -> DataFrame:
+    """Ranked rows, cut to those that are shown, with the long texts that pair_up() leaves behind."""
+    texts = postings.select("job_id", *[c for c in LATE if c in postings.columns])
+    return ranked.join(texts, "job_id").join(profiles.select("profile_id", F.col("resume_text").alias("p_resume")), "profile_id")
+
+
 def survivors(pairs: DataFrame, excluded: DataFrame | None = None) -> DataFrame:
     kept = pairs.filter(passes_all())
     if excluded is not None:
@@ -71,4 +79,5 @@ def match(profiles: DataFrame, profile_vectors: DataFrame, postings: DataFrame,
     after the top-k window, so Catalyst cannot move them below it.
     """
     found = candidates(profile_vectors, posting_vectors, n, spread)
-    return rank_topk(score(survivors(pair_up(found, profiles, postings, weights), excluded)), k)
+    ranked = rank_topk(score(survivors(pair_up(found, profiles, postings, weights), excluded)), k)
+    return with_texts(ranked, profiles, postings)

@@ -26,7 +26,7 @@ DOCS_PER_PACK = 32_768
 HELD_ROWS = 20_000_000    # candidates a task holds before it passes them on
 CELLS_PER_SLICE = 4_000_000
 DIGITS = 9                # similarities are compared after rounding, so ties do not depend on summation order
-GRID_SALTS = 32
+SALT_DOCS = 250_000  # documents that a cell of the grid reads
 
 
 def _array_type(dtype: T.DataType) -> str:
@@ -260,7 +260,7 @@ def topk(queries: DataFrame, docs: DataFrame, k: int, sparse: bool = False, spre
         blocks, salts = max(1, spread), 1
     else:
         total = queries.count()
-        blocks, salts = max(spread, -(-total // query_limit)), GRID_SALTS
+        blocks, salts = max(spread, -(-total // query_limit)), max(1, -(-docs.count() // SALT_DOCS))
 
     q = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     if blocks > 1:

@@ -40,8 +40,14 @@ def resolve_weights(explicit: Column, base: Column) -> Column:
 
 
 def prepare_profiles(profiles: DataFrame, weights: Column | None = None) -> DataFrame:
-    """Profile columns under a ``p_`` prefix, with words and levels ready for matching."""
+    """Profile columns under a ``p_`` prefix, with words and levels ready for matching. A null field is a rule that is off."""
     no_weights = F.lit(None).cast("map<string,double>")
+    none, off = F.array().cast("array<string>"), F.lit(False)
+    profiles = profiles.withColumns({
+        **{c: F.coalesce(c, none) for c in ("skills", "target_roles", "locations", "preferred_locations", "exclude_industries", "emphasis")},
+        **{c: F.coalesce(c, off) for c in ("us_only", "no_contract", "needs_visa_sponsor")},
+        "min_salary": F.coalesce("min_salary", F.lit(0).cast("double")),
+    })
     wanted = F.transform("locations", F.lower)
     preferred = F.transform("preferred_locations", F.lower)
     return profiles.select(

@@ -22,9 +22,9 @@ from rolefit.streaming import ingest, learner, live_merge, runs, serde
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-BLOOM_P = 0.2  # loose enough for false positives to occur on the given tables
+BLOOM_P = 0.01
+LOOSE_P = 0.2  # loose enough for false positives to occur on the given tables
 SAMPLE = 300
-MEMBERSHIP = (16_384, 3)
 
 
 def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
@@ -71,8 +71,13 @@ def sample_postings(i: Inputs) -> DataFrame:
 
 @query
 def sample_by_offset(i: Inputs) -> DataFrame:
-    looks = posting_source.peek_lines(i.spark, landing.land_dump(i), SAMPLE)
-    return looks.select("draw", F.length("line").alias("n_chars"), F.md5("line").alias("line_md5"))
+    """Looks, checked against the lines of the dump: which lines a look meets depends on how the dump lies in files."""
+    path = landing.land_dump(i)
+    looks = posting_source.peek_lines(i.spark, path, SAMPLE).select("draw", F.md5("line").alias("line_md5"))
+    lines = i.spark.read.text(path).select(F.md5("value").alias("line_md5")).distinct().withColumn("known", F.lit(True))
+    return looks.join(lines, "line_md5", "left").agg(
+        (F.count(F.lit(1)) > 0).alias("looked"), F.sum((~F.col("draw").between(0, SAMPLE - 1)).cast("bigint")).alias("outside"),
+        F.sum(F.col("known").isNull().cast("bigint")).alias("unknown_lines"), (F.countDistinct("draw") == F.count(F.lit(1))).alias("once_each"))
 
 
 @query
@@ -160,13 +165,13 @@ def vector_append(i: Inputs) -> DataFrame:
 
 @query
 def export_matches(i: Inputs) -> DataFrame:
-    return snapshot.export_matches(i.ranked).withColumn("description", F.md5("description"))
+    return snapshot.export_matches(i.shown).withColumn("description", F.md5("description"))
 
 
 @query
 def export_csv_json(i: Inputs) -> DataFrame:
     path = shared_dir(i.spark, "export")
-    ranked = i.ranked.select("profile_id", "rank", *snapshot.EXPORT_COLUMNS, "source")
+    ranked = i.shown.select("profile_id", "rank", *snapshot.EXPORT_COLUMNS, "source")
     snapshot.export_csv(ranked, path + "/csv")
     snapshot.export_json(ranked, path + "/json")
     as_csv = i.spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path + "/csv")
@@ -276,7 +281,7 @@ def bloom_dedup(i: Inputs) -> DataFrame:
 @query
 def bloom_false_positives(i: Inputs) -> DataFrame:
     docs = i.texts("documents").select("doc_id", "text", "lang")
-    return dedup.bloom_false_positives(docs, F.col("text"), "doc_id", BLOOM_P).select("doc_id", "lang")
+    return dedup.bloom_false_positives(docs, F.col("text"), "doc_id", LOOSE_P).select("doc_id", "lang")
 
 
 @query
@@ -287,9 +292,10 @@ def ingest_stats(i: Inputs) -> DataFrame:
 
 @query
 def bloom_membership(i: Inputs) -> DataFrame:
-    m, k = (F.lit(x).cast("bigint") for x in MEMBERSHIP)
     keys = i.normalized.select("job_id", "seq", "source")
-    bitmap = dedup.bloom_bitmap(landing.dump_part(keys), F.col("job_id"), m, k)
+    stored = landing.dump_part(keys)
+    m, k = (F.lit(x) for x in dedup.bloom_params(stored.select("job_id"), BLOOM_P).select("m", "k").first())
+    bitmap = dedup.bloom_bitmap(stored, F.col("job_id"), m, k)
     return dedup.bloom_membership(keys, F.col("job_id"), bitmap, m, k)
 
 
@@ -312,9 +318,7 @@ def upsert_flags(i: Inputs) -> DataFrame:
 @query
 def inject_dups(i: Inputs) -> DataFrame:
     mixed = sampling.with_injected_duplicates(i.postings.select("job_id", "title", "company", "seq"), F.col("job_id"), 500)
-    path = shared_dir(i.spark, "mixed")
-    mixed.withColumn("arrival", F.col("copy") * 10_000_000 + F.col("seq")).write.parquet(path)
-    mixed = i.spark.read.parquet(path)
+    mixed = mixed.withColumn("arrival", F.col("copy") * F.lit(2**62) + F.col("seq"))  # numbers stay below 2**62
     out = dedup.ingest_stats(mixed, dedup.dedup_key(mixed), "arrival", 0.01)
     return out.withColumn("bloom_size_kb", F.round("bloom_size_kb", 6))
 
@@ -346,7 +350,7 @@ def extract_skills(i: Inputs) -> DataFrame:
 
 @query
 def skill_overlap(i: Inputs) -> DataFrame:
-    return i.pairs.filter(F.col("candidate_rank") <= ranking.TOP_K).select(
+    return i.pairs.select(
         "profile_id", "job_id", features.skill_overlap(F.col("skills"), F.col("p_skills")).alias("n_overlap"),
         F.size(F.array_distinct("skills")).alias("n_job"))
 
@@ -404,9 +408,8 @@ def top_matches(i: Inputs) -> DataFrame:
 
 @query
 def tailored_text(i: Inputs) -> DataFrame:
-    top = top_matches(i)
-    coverage = ats.ats_match(top, i.postings, i.profiles)
-    return documents.tailored_texts(top, coverage)
+    coverage = ats.ats_match(top_matches(i), i.postings, i.profiles)
+    return documents.tailored_texts(i.shown, coverage)
 
 
 @query
@@ -553,7 +556,7 @@ def explain_matches(i: Inputs) -> DataFrame:
 
 @query
 def match_card(i: Inputs) -> DataFrame:
-    return explain.match_cards(i.ranked).withColumns({"matched": joined("matched"), "missing": joined("missing")})
+    return explain.match_cards(i.shown).withColumns({"matched": joined("matched"), "missing": joined("missing")})
 
 
 # --- evaluation --------------------------------------------------------------------------------
@@ -725,7 +728,8 @@ def rerank_after_feedback(i: Inputs) -> DataFrame:
 
 @query
 def epsilon_greedy(i: Inputs) -> DataFrame:
-    return learning.epsilon_greedy(i.ranked.select("profile_id", "rank", "job_id"), 10)
+    pool = ranking.rank_topk(i.scored, ranking.N_CANDIDATES)  # all that a profile may be shown, not the served list alone
+    return learning.epsilon_greedy(pool.select("profile_id", "rank", "job_id"), 10)
 
 
 @query
@@ -747,17 +751,18 @@ def stream_ingest(i: Inputs) -> DataFrame:
     base = shared_dir(i.spark, "stream")
     landing.land_rows(canonical(i), base + "/in", 4)
     stream = runs.read_landed(i.spark, base + "/in", canonical(i).schema, max_files=2)
-    runs.run_to_table(ingest.drop_repeats(stream), base + "/out", base + "/checkpoint")
-    return i.spark.read.parquet(base + "/out").select("job_id", "title", "company")
+    sink = ingest.FirstArrivals(i.spark, base + "/out", "job_id", "seq")
+    runs.run_batches(stream, sink, base + "/checkpoint")
+    return sink.kept().select("job_id", "seq", "title", "company", "url")
 
 
 @query
 def stream_bloom(i: Inputs) -> DataFrame:
-    base, repost = shared_dir(i.spark, "bloom"), F.col("seq") >= 1000000
+    base, repost = shared_dir(i.spark, "bloom"), landing.is_repost()
     rows = canonical(i).select("seq", "job_id", "title")
     for part in (rows.filter(~repost), rows.filter(repost)):  # two arrivals, hence two batches
         landing.land_rows(part, base + "/in", 2, "append")
-    sink = ingest.BloomSink(i.spark, base + "/out", F.col("job_id"), "seq", MEMBERSHIP)
+    sink = ingest.BloomSink(i.spark, base + "/out", F.col("job_id"), "seq", expected=i.normalized.count(), p=BLOOM_P)
     runs.run_batches(runs.read_landed(i.spark, base + "/in", rows.schema, max_files=2), sink, base + "/checkpoint")
     return sink.kept().select("job_id", "seq")
 
@@ -779,9 +784,9 @@ def stream_progress(i: Inputs) -> DataFrame:
     base = shared_dir(i.spark, "progress")
     rows = canonical(i).select("seq", "job_id")
     landing.land_rows(rows, base + "/in", 4)
-    done = runs.run_to_table(runs.read_landed(i.spark, base + "/in", rows.schema, max_files=2), base + "/out", base + "/checkpoint")
-    steps = i.spark.createDataFrame(runs.progress(done), "batch_id bigint, rows bigint, rows_per_second double")
-    return steps.agg(F.sum("rows").alias("total_seen"))
+    sink = runs.CountedTable(i.spark, base + "/out")
+    runs.run_batches(runs.read_landed(i.spark, base + "/in", rows.schema, max_files=2), sink, base + "/checkpoint")
+    return sink.counts().agg(F.sum("rows").alias("total_seen"))
 
 
 @query
@@ -811,4 +816,4 @@ def learner_stream(i: Inputs) -> DataFrame:
         landing.land_rows(part, base + "/in", 2, "append")
     sink = learner.LearnerSink(i.spark, base + "/states", learning.fresh_state(i.profiles))
     runs.run_batches(runs.read_landed(i.spark, base + "/in", events.schema, max_files=2), sink, base + "/checkpoint")
-    return learning.latest_per_profile(i.spark.read.parquet(base + "/states")).select("profile_id", "n_seen", *_weight_columns())
+    return sink.state_before().filter("n_seen > 0").select("profile_id", "n_seen", *_weight_columns())

@@ -1,7 +1,8 @@
 """Postings, profiles and feedback derived from the given tables.
 
 The SQL texts run unchanged on Spark and on DuckDB, so both sides of a check read equal inputs.
-Every view covers its whole table and the whole text of every document.
+Every view covers its whole table and the whole text of every document. A posting arrives as number
+2 * doc_id; posted again, as the odd number after it.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 POSTINGS_SQL = """
 WITH d AS (SELECT doc_id, text AS body, lang, source FROM {documents}),
 base AS (
- SELECT doc_id AS seq,
+ SELECT 2 * doc_id AS seq, doc_id,
   split_part('Senior ML Engineer|Data Analyst|Junior Data Scientist|Staff Platform Engineer|MLOps Engineer|BI Analyst|Research Scientist|Software Developer', '|', CAST(doc_id % 8 AS INT) + 1) AS name,
   split_part('Google LLC|Acme Metalworks|Tiny Robotics|Bluebird Analytics|Capital One|Hooli Labs|Northwind', '|', CAST((doc_id * 5 + 2) % 7 AS INT) + 1) AS company,
   split_part('New York, NY|San Francisco, CA|Remote|London|Chicago, IL|Toronto|Austin, US|Bengaluru, India|', '|', CAST((doc_id * 4 + 1) % 9 AS INT) + 1) AS location,
@@ -28,32 +29,32 @@ base AS (
   split_part('en_US|en_GB||de_DE|', '|', CAST(doc_id % 5 AS INT) + 1) AS locale,
   '2021-09-01' AS dateadded
  FROM d)
-SELECT * FROM base
+SELECT seq, name, company, location, country, salary_min, salary_max, text, url, source, locale, dateadded FROM base
 UNION ALL
-SELECT seq + 1000000 AS seq, name, company, location, country, salary_min, salary_max, text, url, source, locale, dateadded
-FROM base WHERE seq % 5 = 0
+SELECT seq + 1 AS seq, name, company, location, country, salary_min, salary_max, text, url, source, locale, dateadded
+FROM base WHERE doc_id % 5 = 0
 """
 
 PROFILES_SQL = """
 SELECT c_custkey AS profile_id, c_name AS name,
- split_part('python,sql,pandas,scikit-learn,pytorch,data analysis|python,r,sql,tableau,spark,nlp|java,python,kubernetes,microservices,kafka,spark,tensorflow,aws|python,c++,deep learning,pytorch,nlp,computer vision', '|', CAST(c_custkey % 4 AS INT) + 1) AS skills_csv,
- split_part('ML Engineer,Applied Scientist,Data Scientist|Data Analyst,BI Analyst,Junior Data Scientist,Analytics Engineer|ML Platform Engineer,MLOps Engineer,Senior ML Engineer|Research Scientist,ML Engineer,Applied Scientist,AI Engineer', '|', CAST(c_custkey % 4 AS INT) + 1) AS roles_csv,
- split_part('remote,san francisco,bay area|||us', '|', CAST(c_custkey % 4 AS INT) + 1) AS locations_csv,
- split_part('||new york,nyc,remote|', '|', CAST(c_custkey % 4 AS INT) + 1) AS preferred_csv,
- split_part('Python,machine learning,scikit-learn,PyTorch||ML infrastructure,MLOps,Kafka,Spark,Kubernetes|', '|', CAST(c_custkey % 4 AS INT) + 1) AS emphasis_csv,
- concat(split_part('Analyst of retail data who moves towards machine learning.|Graduate in business analytics with two internships.|Backend engineer of payment systems, now building ML infrastructure.|Computer science graduate who published on language and vision.', '|', CAST(c_custkey % 4 AS INT) + 1), ' Segment ', c_mktsegment, '.') AS resume_text,
- CASE WHEN c_custkey % 4 = 0 THEN FALSE ELSE TRUE END AS us_only,
- CASE c_custkey % 4 WHEN 0 THEN 140000e0 WHEN 1 THEN 80000e0 WHEN 2 THEN 200000e0 ELSE 120000e0 END * (1 + (c_custkey % 5) / 10e0) AS min_salary,
- CASE WHEN c_custkey % 4 = 0 THEN TRUE ELSE FALSE END AS exclude_defense,
- CASE WHEN c_custkey % 4 IN (0, 1) THEN 'mid' END AS max_seniority,
- CASE WHEN c_custkey % 4 = 2 THEN 'senior' END AS min_seniority,
- CASE c_custkey % 4 WHEN 0 THEN 4 WHEN 1 THEN 2 END AS max_years_required,
- CASE WHEN c_custkey % 4 IN (1, 3) THEN TRUE ELSE FALSE END AS no_contract,
- CASE WHEN c_custkey % 4 = 3 THEN TRUE ELSE FALSE END AS needs_visa_sponsor,
- CASE WHEN c_custkey % 4 = 2 THEN 'large' END AS min_company_size,
- CASE WHEN c_custkey % 4 = 1 THEN TRUE ELSE FALSE END AS education_first,
- CASE WHEN c_custkey % 4 = 0 THEN TRUE ELSE FALSE END AS skills_first,
- CASE WHEN c_custkey % 4 = 3 THEN TRUE ELSE FALSE END AS has_publications,
+ split_part('sql,excel,tableau,python,statistics|scala,spark,kafka,java,aws,kubernetes,sql|python,pytorch,nlp,deep learning,docker,sql,pandas|c++,computer vision,python,r,spark', '|', CAST(c_custkey % 4 AS INT) + 1) AS skills_csv,
+ split_part('BI Analyst,Reporting Analyst|Platform Engineer,Data Engineer,Software Developer|Machine Learning Engineer,NLP Engineer,Data Scientist|Research Engineer,Vision Scientist', '|', CAST(c_custkey % 4 AS INT) + 1) AS roles_csv,
+ split_part('|chicago,remote||austin,us', '|', CAST(c_custkey % 4 AS INT) + 1) AS locations_csv,
+ split_part('toronto,london|||remote,chicago', '|', CAST(c_custkey % 4 AS INT) + 1) AS preferred_csv,
+ split_part('|streaming,cloud cost,Scala|language models,evaluation|', '|', CAST(c_custkey % 4 AS INT) + 1) AS emphasis_csv,
+ concat(split_part('Builds reports for hospital logistics.|Runs the event pipelines of a parcel service.|Trains models that sort support letters.|Measures plants from camera pictures.', '|', CAST(c_custkey % 4 AS INT) + 1), ' Segment ', c_mktsegment, '.') AS resume_text,
+ CASE WHEN c_custkey % 4 = 1 THEN FALSE ELSE TRUE END AS us_only,
+ CASE c_custkey % 4 WHEN 0 THEN 70000e0 WHEN 1 THEN 165000e0 WHEN 2 THEN 125000e0 ELSE 95000e0 END * (1 + (c_custkey % 7) / 14e0) AS min_salary,
+ CASE WHEN c_custkey % 4 = 3 THEN TRUE ELSE FALSE END AS exclude_defense,
+ CASE WHEN c_custkey % 4 IN (0, 3) THEN 'mid' END AS max_seniority,
+ CASE WHEN c_custkey % 4 = 1 THEN 'senior' END AS min_seniority,
+ CASE c_custkey % 4 WHEN 0 THEN 2 WHEN 2 THEN 6 END AS max_years_required,
+ CASE WHEN c_custkey % 4 IN (0, 2) THEN TRUE ELSE FALSE END AS no_contract,
+ CASE WHEN c_custkey % 4 = 2 THEN TRUE ELSE FALSE END AS needs_visa_sponsor,
+ CASE WHEN c_custkey % 4 = 1 THEN 'large' END AS min_company_size,
+ CASE WHEN c_custkey % 4 = 0 THEN TRUE ELSE FALSE END AS education_first,
+ CASE WHEN c_custkey % 4 = 3 THEN TRUE ELSE FALSE END AS skills_first,
+ CASE WHEN c_custkey % 4 = 2 THEN TRUE ELSE FALSE END AS has_publications,
  CAST(c_custkey % 4 AS INT) AS shape,
  c_custkey % (SELECT count(*) FROM {embeddings}) AS vec_id
 FROM {customer}
@@ -61,17 +62,15 @@ FROM {customer}
 
 FEEDBACK_SQL = """
 SELECT user_id % (SELECT count(*) FROM {customer}) AS profile_id, event_id AS seq, ts,
- (event_id * 31 + 7) % (SELECT count(*) FROM {documents}) AS posting_seq,
+ 2 * ((event_id * 31 + 7) % (SELECT count(*) FROM {documents})) AS posting_seq,
  CASE event_type WHEN 'purchase' THEN 'accept' WHEN 'click' THEN 'accept' WHEN 'error' THEN 'reject' WHEN 'view' THEN 'skip' ELSE 'unknown' END AS action
 FROM {events}
 """
 
-# Starting weights of the two profile shapes that bring their own.
+# Starting weights of the two profile shapes that bring their own.
 BASE_WEIGHTS = {
-    1: {"similarity": 0.30, "skills": 0.24, "title": 0.20, "salary": 0.03,
-        "seniority": 0.08, "location": 0.03, "experience": 0.12, "company_size": 0.0},
-    2: {"similarity": 0.32, "skills": 0.22, "title": 0.34, "salary": 0.03,
-        "seniority": 0.04, "location": 0.05, "company_size": 0.0},
+    0: {"similarity": 0.25, "skills": 0.35, "title": 0.10, "salary": 0.10, "seniority": 0.05, "location": 0.15, "experience": 0.0, "company_size": 0.0},
+    3: {"similarity": 0.40, "skills": 0.15, "title": 0.15, "salary": 0.05, "seniority": 0.10, "location": 0.10, "company_size": 0.05},
 }
 
 

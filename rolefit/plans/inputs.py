@@ -14,6 +14,9 @@ from rolefit.operators.normalize import normalize
 from rolefit.plans import fixtures
 
 
+COPIED_BYTES = 64 << 20  # per slot, of posting vectors sent to further query blocks
+
+
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -51,7 +54,7 @@ class Inputs:
     def posting_vectors(self) -> DataFrame:
         """(job_id, vec)."""
         n = self.vectors.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
-        keyed = self.postings.select("job_id", ((F.col("seq") % 1000000) % n).alias("vec_id"))
+        keyed = self.postings.select("job_id", (F.shiftright("seq", 1) % n).alias("vec_id"))
         return keyed.join(self.vectors, "vec_id").select("job_id", "vec")
 
     @cached_property
@@ -66,10 +69,13 @@ class Inputs:
     def feedback(self) -> DataFrame:
         return fixtures.feedback(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def spread(self) -> int:
-        """Query blocks for the small posting sets of the given tables."""
-        return 4 * self.spark.sparkContext.defaultParallelism
+        """Query blocks: as many as keep all slots busy while copies of the posting vectors stay small, else one."""
+        slots = self.spark.sparkContext.defaultParallelism
+        width = self.vectors.select(F.coalesce(F.max(F.size("vec")), F.lit(1))).first()[0]
+        copied = 4 * max(1, width) * self.table("documents").count()  # bytes of one copy, one vector per document at most
+        return max(1, min(4 * slots, COPIED_BYTES * slots // max(1, copied)))
 
     @cached_property
     def candidates(self) -> DataFrame:
@@ -86,3 +92,8 @@ class Inputs:
     @cached_property
     def ranked(self) -> DataFrame:
         return ranking.rank_topk(self.scored, ranking.TOP_K)
+
+    @cached_property
+    def shown(self) -> DataFrame:
+        """The rows that are shown, with their long texts."""
+        return ranking.with_texts(self.ranked.filter(F.col("rank") <= ranking.SHOWN), self.profiles, self.enriched)

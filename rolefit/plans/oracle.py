@@ -7,8 +7,8 @@ import os
 import zipfile
 
 from rolefit import vocab
-from rolefit.plans import landing
-from rolefit.plans.catalog import BLOOM_P, MEMBERSHIP, SAMPLE
+from rolefit.plans import fixtures, landing
+from rolefit.plans.catalog import BLOOM_P, LOOSE_P, SAMPLE
 from rolefit.plans.oracle_base import (
     BLOCKS, WS, assemble, csv, distinctive, fold, lit, norm_title, rx, score_sum, skill_hit, skills_of, sql_list, strip, strip_html,
     title_tokens,
@@ -88,7 +88,7 @@ def key_sql(title: str, company: str, location: str, description: str) -> str:
     return f"substr(md5(lower({title}) || '|' || lower({company}) || '|' || lower({location}) || '|' || substr({collapsed}, 1, 120)), 1, 16)"
 
 
-IS_LIVE = "(source = 'adzuna' OR seq >= 1000000)"
+IS_LIVE = "(source = 'adzuna' OR seq % 2 = 1)"
 LEXICAL = "concat_ws(' ', title, array_to_string(skills, ' '), substr(description, 1, 400))"
 BLOB = (strip("array_to_string(target_roles, ' ') || '. ' || array_to_string(list_concat(skills, skills), ' ') || '. ' || resume_text"))
 WORDS = r"regexp_extract_all(lower({x}), '[\p{{L}}\p{{N}}_]{{2,}}')"
@@ -173,15 +173,15 @@ def ats_reduce(hits: str) -> str:
 
 EXTRA: dict[str, tuple[list[str], str]] = {
     "nested": (["raw"], """
-        SELECT seq, name, CASE WHEN seq % 5 = 4 THEN 'Unknown' ELSE company END AS company, location,
-         CASE WHEN seq % 4 <> 0 THEN upper(country) ELSE country END AS country, text, url, 'kaggle:' || source AS source,
-         '2021-09-01' AS date_added, locale, CAST(seq % 1000000 AS VARCHAR) AS id_in_source FROM raw"""),
+        SELECT seq, name, CASE WHEN (seq // 2) % 5 = 4 THEN 'Unknown' ELSE company END AS company, location,
+         CASE WHEN (seq // 2) % 4 <> 0 THEN upper(country) ELSE country END AS country, text, url, 'kaggle:' || source AS source,
+         '2021-09-01' AS date_added, locale, CAST(seq // 2 AS VARCHAR) AS id_in_source FROM raw"""),
     "flat": (["nested"], f"SELECT * EXCLUDE (text), {strip('text')} AS text FROM nested WHERE {strip('name')} <> '' AND length({strip('text')}) >= 40"),
     "english": (["flat"], f"""
         SELECT * FROM flat WHERE starts_with(lower(locale), 'en') OR (locale = '' AND lower(country) IN {sql_list(vocab.ENGLISH_COUNTRIES)})"""),
     "page_rows": (["raw"], f"""
-        SELECT *, 'q' || (seq % 3) AS query, CAST(floor((seq % 1000000) / {3 * landing.PAGE_SIZE}) AS INTEGER) + 1 AS page,
-         CASE seq % 4 WHEN 0 THEN 'permanent' WHEN 1 THEN 'contract' END AS kind, CASE seq % 3 WHEN 0 THEN 'part_time' WHEN 1 THEN 'full_time' END AS time
+        SELECT *, 'q' || ((seq // 2) % 3) AS query, CAST(floor((seq // 2) / {3 * landing.PAGE_SIZE}) AS INTEGER) + 1 AS page,
+         CASE (seq // 2) % 4 WHEN 0 THEN 'permanent' WHEN 1 THEN 'contract' END AS kind, CASE (seq // 2) % 3 WHEN 0 THEN 'part_time' WHEN 1 THEN 'full_time' END AS time
         FROM raw WHERE {IS_LIVE}"""),
     "live_rows": (["page_rows"], f"""
         SELECT seq, name AS title, company, location, 'US' AS country, salary_min, salary_max, {employment('text', 'kind', 'time')} AS description,
@@ -203,9 +203,12 @@ EXTRA: dict[str, tuple[list[str], str]] = {
     "excluded": (["feedback", "postings"], """
         SELECT DISTINCT f.profile_id, p.job_id FROM feedback f JOIN postings p ON p.seq = f.posting_seq WHERE f.action IN ('reject', 'skip')"""),
     "top10": (["ranked"], "SELECT * FROM ranked WHERE rank <= 10"),
-    "covered": (["top10", "ats_job", "ats_prof"], """
+    "ats_top": (["top10", "postings"], f"""
+        SELECT job_id, {ats_reduce('hits')} AS keywords FROM (
+         SELECT job_id, {ats_list('fblob', vocab.ATS_VOCABULARY)} AS hits FROM postings WHERE job_id IN (SELECT DISTINCT job_id FROM top10))"""),
+    "covered": (["top10", "ats_top", "ats_prof"], """
         SELECT profile_id, job_id, rank, keywords, list_filter(keywords, lambda k: list_contains(known, k)) AS covered,
-         list_filter(keywords, lambda k: NOT list_contains(known, k)) AS missing FROM top10 JOIN ats_job USING (job_id) JOIN ats_prof USING (profile_id)"""),
+         list_filter(keywords, lambda k: NOT list_contains(known, k)) AS missing FROM top10 JOIN ats_top USING (job_id) JOIN ats_prof USING (profile_id)"""),
     "ats_hits": (["postings"], f"SELECT job_id, {ats_list('fblob', vocab.ATS_VOCABULARY)} AS hits FROM postings"),
     "ats_job": (["ats_hits"], f"SELECT job_id, {ats_reduce('hits')} AS keywords FROM ats_hits"),
     "corpus": (["profiles"], """
@@ -247,10 +250,12 @@ EXTRA: dict[str, tuple[list[str], str]] = {
     "doc_words": ([], f"SELECT unnest({WORDS.format(x='text')}) AS word FROM documents"),
 }
 EXTRA.update(bloom_blocks("doc", "documents", "text", "doc_id", BLOOM_P))
+EXTRA.update(bloom_blocks("loose", "documents", "text", "doc_id", LOOSE_P))
+EXTRA.update(bloom_blocks("dump", "dump_norm", "job_id", "seq", BLOOM_P))
 EXTRA.update(bloom_blocks("post", "normalized", "job_id", "seq", BLOOM_P))
 EXTRA["drawn"] = (["postings"], bottom_k("postings", "job_id", 500, 5))
 EXTRA["drawn_again"] = (["drawn"], bottom_k("drawn", "job_id", 100, 6))
-EXTRA["mixed"] = (["drawn", "drawn_again"], "SELECT job_id, seq AS arrival FROM drawn UNION ALL SELECT job_id, 10000000 + seq FROM drawn_again")
+EXTRA["mixed"] = (["drawn", "drawn_again"], "SELECT job_id, seq AS arrival FROM drawn UNION ALL SELECT job_id, 4611686018427387904 + seq FROM drawn_again")
 EXTRA.update(bloom_blocks("mix", "mixed", "job_id", "arrival", 0.01))
 
 
@@ -263,7 +268,7 @@ def rank_metrics(source: str, bar_: int) -> str:
 
 
 # --- sources and sinks
-q("scan_postings_json", "SELECT seq, name, length(text) AS n_chars, CAST(seq % 1000000 AS VARCHAR) AS \"idInSource\", locale FROM raw", "raw")
+q("scan_postings_json", "SELECT seq, name, length(text) AS n_chars, CAST(seq // 2 AS VARCHAR) AS \"idInSource\", locale FROM raw", "raw")
 q("flatten_nested", "SELECT seq, name, company, location, country, md5(text) AS text_md5, url, source, date_added, locale, id_in_source FROM flat", "flat")
 q("english_filter", "SELECT seq, locale, country FROM english", "english")
 q("sample_postings", f"""
@@ -286,7 +291,7 @@ q("vectors_stale", f"""
 q("parse_profiles", f"""
     SELECT profile_id, name, {bar('skills')} AS skills, {bar('target_roles')} AS roles, {bar('locations')} AS locations, {bar('preferred')} AS preferred,
      min_salary, us_only, no_contract, CASE WHEN exclude_defense THEN 'defense' ELSE '' END AS exclude_industries, max_seniority, min_seniority,
-     needs_visa_sponsor, max_years_required, CASE shape WHEN 1 THEN 0.2e0 WHEN 2 THEN 0.34e0 END AS title_weight,
+     needs_visa_sponsor, max_years_required, CASE shape {' '.join(f'WHEN {n} THEN {w["title"]!r}e0' for n, w in fixtures.BASE_WEIGHTS.items())} END AS title_weight,
      concat_ws('|', CASE WHEN us_only THEN 'US only' END, CASE WHEN no_contract THEN 'No contract/temp' END,
       CASE WHEN exclude_defense THEN 'No defence/military' END, CASE WHEN max_seniority = 'mid' THEN 'No Senior/Staff titles' END,
       CASE WHEN min_seniority = 'senior' THEN 'No Junior titles' END, CASE WHEN needs_visa_sponsor THEN 'Needs visa sponsor' END) AS dealbreakers
@@ -325,21 +330,20 @@ q("dedup_title_company", "SELECT seq, title, company FROM normalized QUALIFY row
 q("bloom_params", "SELECT n, m, k, round(floor((m + 7) / 8) / 1024.0, 6)::DOUBLE AS size_kb FROM post_size", "post_size")
 q("bloom_positions", "SELECT doc_id, i, pos FROM documents JOIN doc_bits ON key = text", "doc_bits")
 q("bloom_dedup", "SELECT doc_id, lang FROM documents JOIN doc_verdict ON first_seq = doc_id WHERE NOT dropped", "doc_verdict")
-q("bloom_false_positives", "SELECT doc_id, lang FROM documents JOIN doc_verdict ON first_seq = doc_id WHERE dropped", "doc_verdict")
+q("bloom_false_positives", "SELECT doc_id, lang FROM documents JOIN loose_verdict ON first_seq = doc_id WHERE dropped", "loose_verdict")
 q("ingest_stats", stats_sql("post"), "post_verdict", "post_size")
 q("inject_dups", stats_sql("mix"), "mix_verdict", "mix_size")
 
 
-def _fixed_bits(source: str) -> str:
-    m, k = MEMBERSHIP
+def _dump_bits(source: str) -> str:
     return f"""
-        SELECT job_id, (h1 + i * h2) % {m} AS pos FROM (
-         SELECT job_id, {hex_mod('md5(job_id)', 32, str(m))} AS h1, {hex_mod('sha1(job_id)', 40, str(m))} AS h2, unnest(range({k})) AS i FROM {source})"""
+        SELECT job_id, (h1 + i * h2) % m AS pos FROM (
+         SELECT job_id, m, {hex_mod('md5(job_id)', 32, 'm')} AS h1, {hex_mod('sha1(job_id)', 40, 'm')} AS h2, unnest(range(k)) AS i FROM {source}, dump_size)"""
 
 
 q("bloom_membership", f"""
-    SELECT job_id AS key, bool_and(s.pos IS NOT NULL) AS maybe_seen FROM ({_fixed_bits('postings')}) b
-    LEFT JOIN (SELECT DISTINCT pos FROM ({_fixed_bits('dump_norm')})) s USING (pos) GROUP BY 1""", "postings", "dump_norm")
+    SELECT job_id AS key, bool_and(s.pos IS NOT NULL) AS maybe_seen FROM ({_dump_bits('postings')}) b
+    LEFT JOIN (SELECT DISTINCT pos FROM ({_dump_bits('dump_norm')})) s USING (pos) GROUP BY 1""", "postings", "dump_norm", "dump_size")
 q("anti_existing", f"""
     SELECT seq, job_id, title FROM normalized WHERE {IS_LIVE} AND job_id NOT IN (SELECT job_id FROM dump_norm)
     QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY seq) = 1""", "normalized", "dump_norm")
@@ -353,7 +357,7 @@ q("enrich", "SELECT job_id, title, company, seniority, years_required, is_contra
 q("extract_skills", f"SELECT job_id, {bar('skills')} AS skills FROM postings", "postings")
 q("skill_overlap", """
     SELECT profile_id, job_id, CAST(len(list_intersect(skills, p_skills)) AS INTEGER) AS n_overlap, CAST(len(list_distinct(skills)) AS INTEGER) AS n_job
-    FROM pairs WHERE candidate_rank <= 50""", "pairs")
+    FROM pairs""", "pairs")
 q("norm_title", f"SELECT job_id, {norm_title('title')} AS title FROM postings", "postings")
 q("title_tokens", f"SELECT job_id, {bar(title_tokens('title'))} AS tokens, {bar(distinctive('title'))} AS distinctive FROM postings", "postings")
 q("ats_keywords", f"SELECT job_id, {bar('keywords')} AS keywords, CAST(len(keywords) AS INTEGER) AS n FROM ats_job", "ats_job")
@@ -535,16 +539,32 @@ q("rerank_after_feedback", f"""
         SELECT s.profile_id, s.job_id, s.bd, CASE WHEN l.n > 0 THEN {{{", ".join(f"'{s}': l.w[{n + 1}]" for n, s in enumerate(vocab.SIGNALS))}}} ELSE s.weights END AS lw
         FROM scored s ANTI JOIN excluded x ON x.profile_id = s.profile_id AND x.job_id = s.job_id LEFT JOIN learned l ON l.profile_id = s.profile_id) s)
     QUALIFY rank <= 10""", "scored", "excluded", "learned", recursive=True)
+def _draw(what: str) -> str:
+    return f"CAST('0x' || substr(md5('0:' || CAST(profile_id AS VARCHAR) || ':' || CAST(step + 1 AS VARCHAR) || ':{what}'), 1, 8) AS BIGINT) / 4294967296.0"
+
+
+q("epsilon_greedy", "SELECT profile_id, CAST(step AS INTEGER) AS pick, job_id, from_rank FROM eg WHERE step > 0", "eg", recursive=True, extra={
+    "eg_pool": (["scored"], """
+        SELECT profile_id, list({'rank': rank, 'job_id': job_id} ORDER BY rank) AS pool FROM (
+         SELECT profile_id, job_id, CAST(row_number() OVER (PARTITION BY profile_id ORDER BY score DESC, job_id) AS INTEGER) AS rank FROM scored) GROUP BY 1"""),
+    "eg": (["eg_pool"], f"""/*r*/
+        SELECT profile_id, 0::BIGINT AS step, pool, NULL::VARCHAR AS job_id, NULL::INTEGER AS from_rank FROM eg_pool
+        UNION ALL
+        SELECT profile_id, step + 1, list_concat(list_slice(pool, 1, place), list_slice(pool, place + 2, len(pool))), pool[place + 1].job_id, pool[place + 1].rank FROM (
+         SELECT *, CASE WHEN {_draw('explore')} < {vocab.EPSILON} AND len(pool) > 1 THEN CAST(floor({_draw('which')} * len(pool)) AS BIGINT) ELSE 0 END AS place
+         FROM eg WHERE step < 10 AND len(pool) > 0)"""),
+})
+q("sample_by_offset", "SELECT count(*) > 0 AS looked, 0::BIGINT AS outside, 0::BIGINT AS unknown_lines, TRUE AS once_each FROM raw", "raw")
 q("candidate_pool", """
     SELECT profile_id, job_id, similarity FROM candidates WHERE candidate_rank <= 300
     UNION SELECT profile_id, job_id, similarity FROM sims WHERE job_id IN (SELECT job_id FROM drawn300)""", "candidates", "sims", "drawn300",
   extra={"drawn300": (["postings"], bottom_k("postings", "job_id", 300, 0))})
 
 # --- streaming
-q("stream_ingest", "SELECT job_id, title, company FROM postings", "postings")
-_fix = bloom_blocks("fix", "normalized", "job_id", "seq", 0.01)
-_fix["fix_size"] = ([], f"SELECT 0 AS cnt, 0 AS n, {MEMBERSHIP[0]}::BIGINT AS m, {MEMBERSHIP[1]}::BIGINT AS k")
-q("stream_bloom", "SELECT key AS job_id, first_seq AS seq FROM fix_verdict WHERE NOT dropped", "fix_verdict", extra=_fix)
+q("stream_ingest", "SELECT job_id, seq, title, company, url FROM postings", "postings")
+_arrival = "(seq % 2) * 4611686018427387904 + seq"  # reposts come in the second batch
+q("stream_bloom", "SELECT key AS job_id, first_seq % 4611686018427387904 AS seq FROM fix_verdict WHERE NOT dropped", "fix_verdict",
+  extra=bloom_blocks("fix", "normalized", "job_id", _arrival, BLOOM_P))
 q("stream_ack", "SELECT seq, job_id FROM normalized", "normalized")
 q("stream_progress", "SELECT count(*) AS total_seen FROM normalized", "normalized")
 q("stream_live_merge", """

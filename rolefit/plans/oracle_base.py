@@ -134,12 +134,12 @@ BLOCKS: dict[str, tuple[list[str], str]] = {
         FROM enriched0"""),
     "vecs": ([], "SELECT vec_id, embedding::DOUBLE[] AS vec FROM embeddings"),
     "posting_vectors": (["postings", "vecs"], """
-        SELECT job_id, vec FROM postings JOIN vecs ON vec_id = (seq % 1000000) % (SELECT count(*) FROM embeddings)"""),
+        SELECT job_id, vec FROM postings JOIN vecs ON vec_id = (seq // 2) % (SELECT count(*) FROM embeddings)"""),
     "profiles0": ([], fixtures.PROFILES_SQL.format(**_PLAIN)),
     "profiles": (["profiles0"], f"""
         SELECT * EXCLUDE (exclude_defense, has_publications), {csv('skills_csv')} AS skills, {csv('roles_csv')} AS target_roles, {csv('locations_csv')} AS locations,
          {csv('preferred_csv')} AS preferred, {csv('emphasis_csv')} AS emphasis, exclude_defense, has_publications,
-         CASE shape WHEN 1 THEN {_weights(1)} WHEN 2 THEN {_weights(2)} ELSE {DEFAULT_W} END AS weights
+         CASE shape {" ".join(f"WHEN {n} THEN {_weights(n)}" for n in fixtures.BASE_WEIGHTS)} ELSE {DEFAULT_W} END AS weights
         FROM profiles0"""),
     "profile_vectors": (["profiles", "vecs"], "SELECT profile_id, vec FROM profiles JOIN vecs USING (vec_id)"),
     "sims": (["profile_vectors", "posting_vectors"], """

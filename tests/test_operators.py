@@ -188,3 +188,43 @@ def test_empty_survivors_keep_the_schema(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     nothing = ranking.rank_topk(ranking.score(ranking.survivors(i.pairs.filter(F.lit(False)))))
     assert {"score", "breakdown", "rank"} <= set(nothing.columns) and nothing.count() == 0
+
+
+def test_null_rules_are_off(spark, sf_dir):
+    """A profile whose optional fields are null keeps every posting."""
+    i = Inputs(spark, sf_dir)
+    profile = i.profiles.limit(1)
+    optional = [c for c in profile.columns if c not in ("profile_id", "name", "vec_id")]
+    blank = profile.withColumns({c: F.lit(None).cast(profile.schema[c].dataType) for c in optional})
+    postings = i.enriched.limit(40)
+    found = postings.select("job_id").crossJoin(blank.select("profile_id")).withColumns({"similarity": F.lit(0.5), "candidate_rank": F.lit(1)})
+    kept = ranking.rank_topk(ranking.score(ranking.survivors(ranking.pair_up(found, blank, postings))), 100)
+    assert kept.count() == 40 and kept.filter("score IS NULL").count() == 0
+
+
+def test_long_texts_join_the_shown_rows_only(spark, sf_dir):
+    plan = Inputs(spark, sf_dir).ranked._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("Window")]
+    assert "description" not in above and "resume_text" not in above
+    assert {"description", "url", "p_resume"} <= set(Inputs(spark, sf_dir).shown.columns)
+
+
+def test_numbers_of_large_documents_do_not_collide(spark, tmp_path):
+    """Postings and reposts stay apart, whatever the size of doc_id."""
+    from rolefit.plans import landing
+
+    ids = [0, 5, 999_995, 1_000_000, 1_000_005, 10_000_000_000, 2**40]
+    rows = [(i, f"text of {i}", "en", "src1", 9) for i in ids]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    raw = Inputs(spark, str(tmp_path)).raw
+    numbers = [r.seq for r in raw.collect()]
+    assert len(set(numbers)) == len(numbers) and {n >> 1 for n in numbers} == set(ids)
+    dump, live = (sorted(r.seq for r in part(raw).collect()) for part in (landing.dump_part, landing.live_part))
+    assert sorted([*dump, *live]) == sorted(numbers) and all(n % 2 == 0 for n in dump)
+
+
+def test_pretty_skill_keeps_long_words(spark):
+    from rolefit.functions.text import pretty_skill
+
+    word = "a" * 3000 + " b"
+    assert spark.createDataFrame([(word,)], "s string").select(pretty_skill(F.col("s"))).first()[0] == "A" + "a" * 2999 + " B"

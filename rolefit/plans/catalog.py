@@ -431,6 +431,17 @@ def embed_texts(i: Inputs) -> DataFrame:
     return lexical.hashed_weights(texts).select(F.col("id").alias("job_id"), "bucket", F.round("weight", 6).alias("weight"))
 
 
+@query
+def text_candidates(i: Inputs) -> DataFrame:
+    """Nearest postings by the texts themselves: posting and profile texts, hashed vectors, cosine."""
+    posts = i.postings.select(F.col("job_id").alias("id"), features.job_text(F.col("title"), F.col("skills"), F.col("description")).alias("text"))
+    people = i.profiles.select(F.col("profile_id").alias("id"), features.profile_text(F.col("target_roles"), F.col("skills"), F.col("resume_text")).alias("text"))
+    found = ranking.candidates(
+        lexical.hashed_vectors(people).withColumnRenamed("id", "profile_id"), lexical.hashed_vectors(posts).withColumnRenamed("id", "job_id"),
+        ranking.SHOWN, i.spread)
+    return found.select("profile_id", "job_id", "similarity", "candidate_rank")
+
+
 @query
 def cosine_knn(i: Inputs) -> DataFrame:
     vectors = i.table("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))

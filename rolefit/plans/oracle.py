@@ -413,6 +413,25 @@ q("embed_texts", f"""
       sum(CASE WHEN CAST('0x' || substr(md5(w), 5, 1) AS BIGINT) < 8 THEN 1e0 ELSE -1e0 END) AS raw
      FROM (SELECT job_id, unnest({WORDS.format(x="title || '. ' || array_to_string(skills, ' ') || '. ' || substr(description, 1, 500)")}) AS w FROM postings)
      GROUP BY 1, 2) WHERE raw <> 0""", "postings")
+def _hashed(key: str, text: str, source: str) -> str:
+    return f"""
+        SELECT {key}, bucket, CAST(CAST(raw / sqrt(sum(raw * raw) OVER (PARTITION BY {key})) AS FLOAT) AS DOUBLE) AS w FROM (
+         SELECT {key}, CAST('0x' || substr(md5(w), 1, 4) AS BIGINT) % 384 AS bucket,
+          sum(CASE WHEN CAST('0x' || substr(md5(w), 5, 1) AS BIGINT) < 8 THEN 1e0 ELSE -1e0 END) AS raw
+         FROM (SELECT {key}, unnest({WORDS.format(x=text)}) AS w FROM {source}) GROUP BY 1, 2) WHERE raw <> 0"""
+
+
+q("text_candidates", """
+    SELECT profile_id, job_id, similarity, CAST(row_number() OVER (PARTITION BY profile_id ORDER BY similarity DESC, job_id) AS INTEGER) AS candidate_rank FROM (
+     SELECT p.profile_id, j.job_id, coalesce(round(dot / (p.n * j.n), 9), 0e0) AS similarity FROM tv_people_n p CROSS JOIN tv_posts_n j
+      LEFT JOIN (SELECT profile_id, job_id, sum(a.w * b.w) AS dot FROM tv_people a JOIN tv_posts b USING (bucket) GROUP BY 1, 2) d
+       ON d.profile_id = p.profile_id AND d.job_id = j.job_id)
+    QUALIFY candidate_rank <= 10""", "tv_people_n", "tv_posts_n", extra={
+    "tv_posts": (["postings"], _hashed("job_id", "title || '. ' || array_to_string(skills, ' ') || '. ' || substr(description, 1, 500)", "postings")),
+    "tv_people": (["profiles"], _hashed("profile_id", BLOB, "profiles")),
+    "tv_posts_n": (["tv_posts"], "SELECT job_id, sqrt(sum(w * w)) AS n FROM tv_posts GROUP BY 1"),
+    "tv_people_n": (["tv_people"], "SELECT profile_id, sqrt(sum(w * w)) AS n FROM tv_people GROUP BY 1"),
+})
 q("cosine_knn", """
     SELECT q.vec_id AS query_id, d.vec_id AS doc_id, round(list_cosine_similarity(q.vec, d.vec), 9) AS similarity,
      CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.vec, d.vec), 9) DESC, d.vec_id) AS INTEGER) AS rank

@@ -78,4 +78,30 @@ def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_near_duplicates, op2_simhash_fingerprints, op3_piece_codes, op4_source_mix, op5_personal_data, op6_quality_scores, op7_top_products, op8_license_scan, op9_token_files, op10_repeated_spans)
 }
-ORACLE: dict[str, str] = {}
+#: Where SQL can say the same over the whole tables; the other queries are tested against plain versions.
+ORACLE: dict[str, str] = {
+    "op1_near_duplicates": r"""
+WITH RECURSIVE split AS (
+ SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+ FROM documents),
+shingle AS MATERIALIZED (
+ SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+ FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM split WHERE len(w) > 0)),
+size AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingle GROUP BY 1),
+edge AS MATERIALIZED (
+ SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
+ JOIN size i ON i.doc_id = p.a JOIN size j ON j.doc_id = p.b WHERE 100 * c >= 85 * (i.n + j.n - c)),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, e.b FROM reach r JOIN edge e ON e.a = r.other),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN least USING (doc_id) LEFT JOIN size USING (doc_id)""",
+    "op7_top_products": """
+WITH v AS MATERIALIZED (
+ SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+ WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+ SELECT q.vec_id AS query_id, d.vec_id, CAST(list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * d.x[i])) AS BIGINT) AS score
+ FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20""",
+}

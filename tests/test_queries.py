@@ -13,7 +13,7 @@ NAMES = [
     "bloom_membership", "upsert_flags", "enrich", "ats_match", "rank_topk", "explain_matches", "match_card", "ndcg_at_k", "tfidf_weights",
     "retrieval_ab", "summary_stats", "count_min_estimates", "learner_fold", "learner_resume", "rerank_after_feedback", "stream_live_merge",
     "learner_stream", "stream_bloom", "stream_ingest", "stream_progress", "epsilon_greedy", "sample_by_offset", "tailored_text", "skill_overlap",
-    "acceptance_curve", "inject_dups", "bloom_false_positives", "parse_profiles", "export_matches",
+    "acceptance_curve", "inject_dups", "parse_profiles", "export_matches",
 ]
 
 

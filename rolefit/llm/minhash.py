@@ -2,9 +2,10 @@
 
 A text's set of word shingles is hashed once; each of BANDS * ROWS bins keeps the least hash that falls in it, an
 empty bin borrows from a bin found by universal hashing of (bin, attempt). Texts with equal rows in a band share a
-bucket. In a bucket every member is compared with a hub, not with every other: a star. A hub leaves the bucket then,
-and buckets whose members are not yet all connected elect new hubs, twice as many in each round, so that no pair of
-a bucket is lost and pairs stay bounded by what is still unresolved. Links are confirmed on full shingle sets.
+bucket. In a bucket every member is compared with its hub only, the least document: a star. Where that leaves a
+bucket with members that are not connected, a prefix filter finds those among them that can be near each other at
+all: two sets so similar share one of their rarest elements, early enough. So pairs stay bounded, and no pair of a
+bucket is lost. Links are confirmed on full shingle sets.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rolefit.llm.common import materialize, text_or_empty
@@ -91,58 +93,85 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"v": batch.column("doc_id"), "hashes": pa.array([shingle_set(t.as_py()).tobytes() for t in batch.column("text")], pa.binary())})
 
 
+def _compare(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = np.sort(np.concatenate([x, y]))
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= percent * (len(both) - shared)
+
+
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = (np.frombuffer(b.as_py(), np.uint64) for b in (x, y))
-                both = np.sort(np.concatenate([x, y]))
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * shared >= percent * (len(both) - shared))
+            keep = [_compare(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
+                    for x, y in zip(batch.column("x"), batch.column("y"), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per element of the sets."""
+    for batch in batches:
+        for at in range(0, len(batch), 512):
+            part = batch.slice(at, 512)
+            sets = [np.frombuffer(z.as_buffer(), np.int64) for z in part.column("hashes")]
+            sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+            spread = lambda c: pa.array(np.repeat(part.column(c).to_numpy(), sizes))
+            yield pa.RecordBatch.from_pydict({"v": spread("v"), "root": spread("root"), "n": pa.array(np.repeat(sizes, sizes)), "element": pa.array(np.concatenate(sets))})
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b and their sets x, y. A hub of many members is a skewed key of a plain join of two exchanges."""
+    of = lambda v, h: sets.select(F.col("v").alias(v), F.col("hashes").alias(h))
+    return pairs.join(of("b", "y"), "b").join(of("a", "x"), "a").select("a", "b", "x", "y")
+
+
 def _linked(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """v, root: classes by the least class that they are connected with, but for roots."""
-    spark = docs.sparkSession
-    rows = classes.select("v", "n", F.explode("bands").alias("band"))
-    shared = materialize(rows.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1").select("band"), "minhash-buckets")
-    members = materialize(rows.join(shared, "band"), "minhash-members")
-    sets = _needed_sets(docs, members)
-    roots = spark.createDataFrame([], "v long, root long")
-    members, turn = members.withColumn("root", F.col("v")).withColumn("links", F.lit(0).cast("long")), 0
-    while not members.isEmpty():
-        # Of every part of a bucket the member with most links so far (at first: the least) becomes a hub.
-        part = F.pmod(F.xxhash64(F.lit(turn), "v"), F.lit(2**turn))
-        split = members.withColumn("part", part)
-        best = split.groupBy("band", "part").agg(F.min(F.struct((-F.col("links")).alias("order"), "v", "n", "root")).alias("hub"))
-        hubs = materialize(best.select("band", F.col("hub.v").alias("a"), F.col("hub.n").alias("an"), F.col("hub.root").alias("ar")), f"minhash-hubs-{turn}")
-        pairs = members.join(hubs, "band").filter((F.col("v") != F.col("a")) & (F.col("root") != F.col("ar")) & (100 * F.least("n", "an") >= percent * F.greatest("n", "an")))
-        pairs = materialize(pairs.select(F.least("a", "v").alias("a"), F.greatest("a", "v").alias("b")).distinct(), f"minhash-pairs-{turn}")
-        full = pairs.join(sets.select(F.col("v").alias("b"), F.col("hashes").alias("y")), "b").join(sets.select(F.col("v").alias("a"), F.col("hashes").alias("x")), "a")
-        links = materialize(full.select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long"), f"minhash-links-{turn}")
-        known = roots.select("v", "root")
-        of = lambda c: known.select(F.col("v").alias(c), F.col("root").alias(f"{c}_root"))
-        edges = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
-        joined = components(edges)
-        moved = known.withColumnRenamed("root", "old").join(joined.select(F.col("v").alias("old"), "root"), "old", "left").select("v", F.coalesce("root", "old").alias("root"))
-        fresh = joined.join(known, "v", "left_anti")
-        roots = materialize(moved.unionByName(fresh), f"minhash-roots-{turn}")
-        degree = links.select(F.col("a").alias("v")).unionByName(links.select(F.col("b").alias("v"))).groupBy("v").agg(F.count("*").alias("more"))
-        left = members.join(hubs.select("band", F.col("a").alias("v")), ["band", "v"], "left_anti").drop("root")
-        left = left.join(roots, "v", "left").join(degree, "v", "left").select("v", "n", "band", F.coalesce("root", "v").alias("root"), (F.col("links") + F.coalesce("more", F.lit(0))).alias("links"))
-        left = materialize(left, f"minhash-left-{turn}")
-        mixed = materialize(left.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("band"), f"minhash-mixed-{turn}")
-        members, turn = materialize(left.join(mixed, "band"), f"minhash-members-{turn}"), turn + 1
-    return roots
-
-
-def _needed_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
+    rows = classes.select("v", F.explode("bands").alias("band"))
+    hubs = materialize(rows.groupBy("band").agg(F.min("v").alias("a"), F.count("*").alias("size")).filter("size > 1"), "minhash-hubs")
+    members = materialize(rows.join(hubs, "band"), "minhash-members")
+    stars = materialize(members.filter("v <> a").select("a", F.col("v").alias("b")).distinct(), "minhash-stars")
+    sets = _needed_sets(docs, stars)
+    links = materialize(_with_sets(stars, sets).mapInArrow(_confirm(percent), "a long, b long"), "minhash-links")
+    roots = components(links)
+    placed = members.filter("size > 2").join(roots, "v", "left").select("v", "band", F.coalesce("root", "v").alias("root"))
+    placed = materialize(placed, "minhash-placed")
+    mixed = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("band")
+    open_ = materialize(placed.join(mixed, "band").select("v", "root").distinct(), "minhash-open")
+    near = materialize(_can_be_near(sets.join(open_, "v"), percent).join(stars, ["a", "b"], "left_anti"), "minhash-near")
+    more = _with_sets(near, sets).mapInArrow(_confirm(percent), "a long, b long")
+    return components(materialize(links.unionByName(more), "minhash-all-links"))
+
+
+def _can_be_near(sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs of ``sets`` (v, hashes, root) of different roots, without a pair that is less similar for sure.
+
+    Sets with ``percent`` of their elements in common share p / (100 + p) * (n1 + n2) elements, hence one of the
+    first n - p * n / 100 + 1 of each in any common order; here the rarest come first. From the first shared one on
+    each must have as many left. An element's rows of its most frequent root meet those of other roots only, so that
+    a large connected group is not paired with itself.
+    """
+    elements = materialize(sets.select("v", "root", "hashes").mapInArrow(_elements, "v long, root long, n long, element long"), "minhash-elements")
+    often = materialize(elements.groupBy("element").agg(F.count("*").alias("df")).filter("df > 1"), "minhash-often")
+    counted = elements.join(often, "element", "left").withColumn("df", F.coalesce("df", F.lit(1)))
+    place = F.row_number().over(W.partitionBy("v").orderBy("df", "element"))  # of one text
+    first = counted.withColumn("at", place).filter(F.expr(f"df > 1 AND at <= n - ceil({percent} * n / 100) + 1"))
+    first = materialize(first.select("v", "root", "n", "element", "at"), "minhash-first")
+    by_root = first.groupBy("element", "root").agg(F.count("*").alias("rows")).groupBy("element")
+    main = by_root.agg(F.max(F.struct("rows", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1")
+    main = materialize(main.select("element", F.col("main.root").alias("main")), "minhash-main")
+    met = materialize(first.join(main, "element").withColumn("of_main", F.col("root") == F.col("main")), "minhash-met")
+    one, two = met.filter("NOT of_main").alias("one"), met.alias("two")
+    enough = F.expr(f"{100 + percent} * least(one.n - one.at + 1, two.n - two.at + 1) >= {percent} * (one.n + two.n)")
+    once = F.expr("two.of_main OR one.v < two.v")
+    pairs = one.join(two, (F.col("one.element") == F.col("two.element")) & (F.col("one.root") != F.col("two.root")) & once & enough)
+    return pairs.select(F.least("one.v", "two.v").alias("a"), F.greatest("one.v", "two.v").alias("b")).distinct()
+
+
+def _needed_sets(docs: DataFrame, stars: DataFrame) -> DataFrame:
     """v, hashes of the representatives that share a bucket with another."""
-    wanted = members.select(F.col("v").alias("doc_id")).distinct()
+    wanted = stars.select(F.col("a").alias("doc_id")).union(stars.select("b")).distinct()
     texts = docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
     return materialize(texts.mapInArrow(_sets, "v long, hashes binary"), "minhash-sets")
 

@@ -26,8 +26,8 @@ from rolefit.session import shared_dir
 
 #: Sequences of a record batch.
 ROWS = 512
-#: Chunks of text whose ids a worker keeps at most, by text and by what is left without case and marks.
-KEPT = 300_000
+#: Chunks of text, and parts of chunks, whose ids a worker keeps before it starts anew; texts encoded at a time.
+KEPT, TEXTS = 500_000, 64
 DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 MANIFEST = "shard int, data string, docs string, n_docs long, n_tokens long"
 
@@ -39,18 +39,22 @@ def _filesystem(uri: str) -> tuple[pa.fs.FileSystem, str]:
 class ChunkEncoder:
     """Ids of whole texts from a tokenizer that drops white space and never joins what stands around it.
 
-    The ids of a text are those of its chunks between white space, in order. Chunks are kept with their ids, and
-    a chunk of ASCII letters and closing marks is put together from the ids of both.
+    The ids of a text are those of its chunks between white space, in order, and a chunk of letters and closing ASCII
+    marks is put together from the ids of both. Chunks and parts are kept with their ids. Parts not met before go
+    through the tokenizer many at a time, blanks between them: each ends with its first token that ends a word.
     """
 
-    SIMPLE = re.compile(r"([a-z]+)([^a-z0-9\s']*)", re.ASCII)
+    SIMPLE = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = False
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(self.vocabulary, bool)
+        if suffix:
+            self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
         self.chunks: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
 
@@ -58,33 +62,50 @@ class ChunkEncoder:
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
-    def _ids(self, chunk: str) -> bytes:
-        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _part(self, part: str) -> bytes:
-        found = self.parts.get(part)
-        if found is None:
-            if len(self.parts) >= KEPT:
-                self.parts = {"": b""}
-            found = self.parts[part] = self._ids(part)
-        return found
-
-    def encode(self, text: str) -> np.ndarray:
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        ids = np.frombuffer(self._ids([" ".join(parts)])[0], "<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(parts) or cuts[-1] != len(ids):  # a part of several words
+            self.parts.update(zip(parts, self._ids(parts), strict=True))
+            return
+        raw, at = ids.tobytes(), 0
+        for part, cut in zip(parts, (4 * cuts).tolist(), strict=True):
+            self.parts[part] = raw[at:cut]
+            at = cut
+
+    def _learn(self, chunks: list[str]) -> None:
+        simple, other = [], []
+        for chunk in chunks:
+            found = self.SIMPLE.fullmatch(chunk)
+            if found:
+                core = found[1]
+                simple.append((chunk, core.lower() if core.isascii() else core, found[2]))
+            else:
+                other.append(chunk)
+        parts = self.parts
+        new = list({p for _, core, marks in simple for p in (core, marks) if p not in parts})
+        for at in range(0, len(new), 1024):
+            self._learn_parts(new[at:at + 1024])
+        self.chunks.update((chunk, parts[core] + parts[marks]) for chunk, core, marks in simple)
+        self.chunks.update(zip(other, self._ids(other), strict=True))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text. A few dozen texts at a time keep what is held beside the kept chunks small."""
         # Special tokens may hold the words around them together; four separators are white space to Python alone.
-        if any(x in text for x in self.special) or any(x in text for x in "\x1c\x1d\x1e\x1f"):
-            return np.frombuffer(self._ids(text), "<u4")
-        known, out = self.chunks, []
-        for chunk in text.split():
-            found = known.get(chunk)
-            if found is None:
-                if len(known) >= KEPT:
-                    known.clear()
-                simple = self.SIMPLE.fullmatch(chunk.lower()) if chunk.isascii() else None
-                found = self._part(simple[1]) + self._part(simple[2]) if simple else self._ids(chunk)
-                if len(chunk) <= 64:
-                    known[chunk] = found
-            out.append(found)
-        return np.frombuffer(b"".join(out), "<u4")
+        odd = [any(x in t for x in self.special) or any(x in t for x in "\x1c\x1d\x1e\x1f") for t in texts]
+        split = [[] if o else t.split() for t, o in zip(texts, odd, strict=True)]
+        if len(self.chunks) >= KEPT:
+            self.chunks.clear()
+        if len(self.parts) >= KEPT:
+            self.parts = {"": b""}
+        new = set().union(*split).difference(self.chunks)
+        if new:
+            self._learn(list(new))
+        known = self.chunks.__getitem__
+        return [np.frombuffer(self._ids([t])[0] if o else b"".join(map(known, s)), "<u4") for t, o, s in zip(texts, odd, split, strict=True)]
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
@@ -146,11 +167,12 @@ def _write_shards(folder: str, tokenizer: str, length: int, end_id: int):
                 sink = fs.open_output_stream(path)
                 index, n_docs = pa.ipc.new_file(sink, DOCS), 0
             starts, sizes = [], []
-            for text in batch.column("text"):
-                ids = np.append(encoder.encode(text.as_py()), np.uint32(end_id))
-                starts.append(writer.total)
-                sizes.append(len(ids))
-                writer.add(ids)
+            for at in range(0, len(batch), TEXTS):
+                for ids in encoder.encode(batch.column("text").slice(at, TEXTS).to_pylist()):
+                    starts.append(writer.total)
+                    sizes.append(len(ids) + 1)
+                    writer.add(ids)
+                    writer.add(np.array([end_id], np.uint32))
             n_docs += len(batch)
             index.write_batch(pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], schema=DOCS))
         if writer is not None:

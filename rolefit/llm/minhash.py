@@ -25,6 +25,8 @@ from rolefit.llm.components import components
 #: A pair of similarity s shares no bucket with probability (1 - s**ROWS)**BANDS: 6e-9 at 0.85.
 BANDS, ROWS = 40, 6
 SHINGLE = 5
+#: Bits of the bitmap of wanted ids: 4 MB.
+BITMAP = 2**25
 _BINS = BANDS * ROWS
 _PROBES = np.random.default_rng(101).integers(0, _BINS, (_BINS, 512))
 
@@ -170,9 +172,17 @@ def _can_be_near(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _needed_sets(docs: DataFrame, stars: DataFrame) -> DataFrame:
-    """v, hashes of the representatives that share a bucket with another."""
+    """v, hashes of the representatives that share a bucket with another.
+
+    A bitmap of hashed ids, of one size whatever the data, keeps most other texts out of the shuffle; the join decides.
+    """
     wanted = stars.select(F.col("a").alias("doc_id")).union(stars.select("b")).distinct()
-    texts = docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP))
+    bits = wanted.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bitmap"))
+    bit = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col("bitmap"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    held = (F.bitmap_bucket_number(place) == F.col("bucket")) & (F.getbit(byte, (bit % 8).cast("int")) == 1)
+    texts = docs.select("doc_id", "text").join(F.broadcast(bits), held, "left_semi").join(wanted, "doc_id", "left_semi")
     return materialize(texts.mapInArrow(_sets, "v long, hashes binary"), "minhash-sets")
 
 

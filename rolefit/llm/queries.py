@@ -18,9 +18,9 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from rolefit.llm.simhash import fingerprint_links
+    from rolefit.llm.simhash import RADIUS, fingerprint_links
 
-    return fingerprint_links(_table(spark, sf_dir, "documents"))
+    return fingerprint_links(_table(spark, sf_dir, "documents"), RADIUS)
 
 
 def op3_piece_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,8 +25,8 @@ PATTERNS = {
 }
 #: Words that hold a digit or an at sign.
 TOKEN = f"(?<![^{_SPACE}])(?=[^{_SPACE}0-9@]*+[0-9@])[^{_SPACE}]++"
-#: Characters before a token in which the words of its pattern are looked for, and how many words.
-REACH, CONTEXT_WORDS = 64, 2
+#: Words before a token that are its pattern, and what stands there for a word that looks like an identifier itself.
+CONTEXT_WORDS, NEIGHBOUR = 2, "<id>"
 #: Different seeds that a pattern needs, the confidence at which it marks tokens, rounds of scoring.
 SUPPORT, CONFIDENCE, ROUNDS = 3, 0.7, 2
 #: Shortest token that a pattern may mark.
@@ -62,16 +62,28 @@ def base_spans() -> Column:
 
 
 def _tokens() -> Column:
-    """Of columns ``text`` and ``base``: the words that look like identifiers, their context, and the base kind that starts in them."""
+    """Of columns ``text`` and ``base``: the words that look like identifiers, their context, and the base kind that starts in them.
+
+    The context is the last CONTEXT_WORDS whole words before, the last one first, NEIGHBOUR for each that looks like an
+    identifier: the words of a list of identifiers have contexts like others. A word that begins its text has none.
+    """
     words = f"'[^{_SPACE}]+'".replace("\\", "\\\\")
-    context = f"""array_join(slice(reverse(regexp_extract_all(lower(right(t.before, {REACH})), {words}, 0)), 1, {CONTEXT_WORDS}), ' ')"""
+    token = _q(TOKEN)
+    context = f"slice(concat(x.w, acc.last), 1, {CONTEXT_WORDS})"
+    cut = f"""aggregate(zip_with(regexp_extract_all(text, {token}, 0), split(text, {token}, -1), (m, b) -> struct(
+            m, b, if(m IS NULL, NULL, slice(reverse(regexp_extract_all(lower(b), {words}, 0)), 1, {CONTEXT_WORDS})) AS w)),
+        struct(0L AS at, cast(array() AS array<string>) AS last, cast(array() AS array<struct<start:bigint,end:bigint,hit:string,context:string>>) AS out),
+        (acc, x) -> if(x.m IS NULL, acc, struct(acc.at + char_length(x.b) + char_length(x.m) AS at,
+            slice(concat(array('{NEIGHBOUR}'), {context}), 1, {CONTEXT_WORDS}) AS last,
+            concat(acc.out, array(struct(acc.at + char_length(x.b) AS start, acc.at + char_length(x.b) + char_length(x.m) AS end, x.m AS hit,
+                array_join({context}, ' ') AS context))) AS out)),
+        acc -> acc.out)"""
     hit = "rtrim('.,;:!?)', t.hit)"
-    return F.expr(f"""if(text RLIKE '[0-9@]', filter(transform({_cut('text', TOKEN)}, t -> struct(
-        t.start AS start, t.start + char_length({hit}) AS end, lower({hit}) AS token, {context} AS context,
-        filter(base, s -> s.start >= t.start AND s.start < t.end)[0].kind_no AS seed,
+    seed = "array_min(transform(filter(base, s -> s.start >= t.start AND s.start < t.end), s -> s.kind_no))"
+    return F.expr(f"""if(text RLIKE '[0-9@]', filter(transform({cut}, t -> struct(
+        t.start AS start, t.start + char_length({hit}) AS end, lower({hit}) AS token, t.context AS context, {seed} AS seed,
         exists(base, s -> s.start < t.end AND s.end > t.start) AS covered)),
-        t -> t.context <> '' AND (t.seed IS NOT NULL OR NOT t.covered)), NULL)""".replace("[0].kind_no", "").replace("filter(base, s -> s.start >= t.start AND s.start < t.end) AS seed",
-        "array_min(transform(filter(base, s -> s.start >= t.start AND s.start < t.end), s -> s.kind_no)) AS seed"))
+        t -> t.context <> '' AND (t.seed IS NOT NULL OR NOT t.covered)), NULL)""")
 
 
 def bootstrap(tokens: DataFrame) -> DataFrame:

@@ -63,6 +63,17 @@ def test_patterns_find_what_no_base_pattern_matches(spark):
     assert text[0] == "we wrote mail at [EMAIL] and left" and text[12] == "we wrote mail at [EMAIL] and left" and text[13] == unseen[1]
 
 
+def test_a_list_of_identifiers_is_found_to_its_end(spark):
+    seeds = [f"team list user{i}@mail.example peer{i}@mail.example third{i}@mail.example today" for i in range(12)]
+    unseen = "team list ann(at)mail7 bob(at)mail8, cid(at)mail9 today"
+    long = "x" * 80
+    texts = [*seeds, unseen, *(f"{long}{i % 2} {'y' * 70} id{i}@mail.example" for i in range(8)), "z" + "x" * 79 + " " + "y" * 70 + " room12"]
+    rows = {r.doc_id: r for r in personal_data(documents(spark, texts)).collect()}
+    found = [unseen[int(a):int(b)] for _, a, b in (s.split(":") for s in rows[12].spans.split(","))]
+    assert found == ["ann(at)mail7", "bob(at)mail8", "cid(at)mail9"] and rows[12].n_email == 0
+    assert rows[21].spans == ""  # other words before, though their tails are the same
+
+
 def test_odd_rows(spark):
     docs = documents(spark)
     check(personal_data(docs).collect(), {r.doc_id: r.text for r in docs.collect()})

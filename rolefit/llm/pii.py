@@ -1,9 +1,9 @@
 """Personal data: fixed patterns seed a bootstrapped contextual extraction.
 
 Base entities (e-mail, IP, card and phone numbers) are seeds. The words before a seed are its lexical pattern. A
-graph of patterns and instances (tokens that look like identifiers) is scored in rounds: a pattern by the scores
-of the instances it stands before, an instance by the patterns that it follows. Patterns of high confidence then
-mark tokens that no base pattern matched. Only SQL functions are used.
+graph of patterns and instances (tokens that look like identifiers) is scored in rounds until nothing changes: a pattern
+by the scores of the instances it stands before, an instance by the other patterns that it follows; confident instances
+are seeds of further patterns. Patterns of high confidence then mark tokens that no base pattern matched. Only SQL functions are used.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ PATTERNS = {
 TOKEN = f"(?<![^{_SPACE}])(?=[^{_SPACE}0-9@]*+[0-9@])[^{_SPACE}]++"
 #: Words before a token that are its pattern, and what stands there for a word that looks like an identifier itself.
 CONTEXT_WORDS, NEIGHBOUR = 2, "<id>"
-#: Different seeds that a pattern needs, the confidence at which it marks tokens, rounds of scoring.
-SUPPORT, CONFIDENCE, ROUNDS = 3, 0.7, 2
+#: Different seeds or confident instances that a pattern needs, the percentage of confidence at which it marks tokens.
+SUPPORT, CONFIDENCE = 3, 70
 #: Shortest token that a pattern may mark.
 SHORTEST = 4
 
@@ -87,27 +87,41 @@ def _tokens() -> Column:
 
 
 def bootstrap(tokens: DataFrame) -> DataFrame:
-    """context, kind_no, confidence: the patterns of high confidence.
-
-    ``tokens`` has context, token and seed (kind number, null where no base pattern matched). A pattern needs SUPPORT
-    different seeds of a kind. In each round a pattern's confidence is the mean score of its different instances; a
-    seed scores 1, another instance by the chance that not all of its patterns are wrong. Frequent contexts and tokens
-    are summed in each task first; joins on them are plain equi-joins of written tables, which Spark splits where skewed.
+    """context, kind_no, confidence: the patterns of high confidence (in percent, rounded down).
+
+    ``tokens`` has context, token and seed (kind number, null where no base pattern matched). A pattern's confidence is
+    the mean score of its different instances; a seed scores 1, another instance by the chance that not all of its other
+    patterns are wrong: a pattern's own vote never counts for it. A pattern needs SUPPORT different seeds or instances that
+    score CONFIDENCE without it. Scores only rise from round to round, each of which is written; when one changes no
+    pattern, no instance changes either, and the rounds end. Whole percents bound their number. Frequent contexts and
+    tokens are summed in each task first; joins on them are equi-joins of written tables, which Spark splits where skewed.
     """
     edges = materialize(tokens.groupBy("context", "token").agg(F.min("seed").alias("seed")), "pii-edges")
+    sizes = edges.groupBy("context").agg(F.count("*").alias("instances"))
     seeded = edges.filter("seed IS NOT NULL").groupBy("context", F.col("seed").alias("kind_no")).agg(F.count("*").alias("seeds"))
-    patterns = edges.groupBy("context").agg(F.count("*").alias("instances")).join(seeded.filter(F.col("seeds") >= SUPPORT), "context")
-    scored = materialize(patterns.select("context", "kind_no", "instances", "seeds", (F.col("seeds") / F.col("instances")).alias("confidence")), "pii-patterns")
     unseen = edges.filter("seed IS NULL").select("context", "token")
-    for n in range(1, ROUNDS):
-        votes = unseen.join(scored.filter("confidence < 1"), "context")
-        wrong = F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))))
-        instances = materialize(votes.groupBy("token", "kind_no").agg((1 - wrong).alias("score")), f"pii-instances-{n}")
-        gained = unseen.join(instances, "token").groupBy("context", "kind_no").agg(F.sum("score").alias("gain"))
-        again = scored.join(gained, ["context", "kind_no"], "left")
-        # An instance of its own pattern alone adds nothing new: only scores above that pattern's confidence count.
-        mean = F.greatest(F.col("confidence"), (F.col("seeds") + F.coalesce("gain", F.lit(0.0)) * F.col("confidence")) / F.col("instances"))
-        scored = materialize(again.select("context", "kind_no", "instances", "seeds", F.least(mean, F.lit(1.0)).alias("confidence")), f"pii-patterns-{n}")
+    # What never changes: the seeds of a context, and its number of instances.
+    seeded = materialize(seeded.join(sizes, "context"), "pii-seeds")
+    sizes = materialize(sizes.join(unseen.select("context").distinct(), "context"), "pii-sizes")
+    percent = lambda score: F.least(F.floor(100 * score / F.col("instances") + 1e-9), F.lit(100))
+    scored = materialize(seeded.filter(F.col("seeds") >= SUPPORT).select("context", "kind_no", percent(F.col("seeds")).alias("confidence")), "pii-patterns")
+    state = lambda frame: tuple(frame.agg(F.count("*"), F.sum("confidence")).first())
+    before, now = None, state(scored)
+    while now != before:
+        doubt = scored.select("context", "kind_no", "confidence", F.log(F.greatest(1 - F.col("confidence") / 100, F.lit(1e-6))).alias("doubt")).filter("confidence > 0")
+        votes = unseen.join(doubt, "context").groupBy("token", "kind_no").agg(F.sum("doubt").alias("doubts"))
+        votes = materialize(votes, "pii-instances")
+        others = unseen.join(votes, "token").join(doubt.select("context", "kind_no", "doubt"), ["context", "kind_no"], "left")
+        score = 1 - F.exp(F.col("doubts") - F.coalesce("doubt", F.lit(0.0)))
+        others = others.withColumn("score", score).filter("score > 1e-9")
+        gained = others.groupBy("context", "kind_no").agg(F.sum("score").alias("gain"), F.count_if(100 * F.col("score") + 1e-9 >= CONFIDENCE).alias("found"))
+        gained = gained.join(sizes, "context").select("context", "kind_no", "instances", F.lit(0).cast("long").alias("seeds"), "gain", "found")
+        known = seeded.select("context", "kind_no", "instances", "seeds", F.lit(0.0).alias("gain"), F.lit(0).cast("long").alias("found"))
+        again = known.unionByName(gained).groupBy("context", "kind_no").agg(
+            F.max("instances").alias("instances"), F.max("seeds").alias("seeds"), F.max("gain").alias("gain"), F.max("found").alias("found"))
+        again = again.filter(F.col("seeds") + F.col("found") >= SUPPORT)
+        scored = materialize(again.select("context", "kind_no", percent(F.col("seeds") + F.col("gain")).alias("confidence")), "pii-patterns")
+        before, now = now, state(scored)
     best = scored.filter(F.col("confidence") >= CONFIDENCE).groupBy("context").agg(F.max(F.struct("confidence", -F.col("kind_no"))).alias("best"))
     return best.select("context", (-F.col("best.col2")).cast("int").alias("kind_no"), F.col("best.confidence").alias("confidence"))
 

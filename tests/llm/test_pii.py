@@ -74,6 +74,20 @@ def test_a_list_of_identifiers_is_found_to_its_end(spark):
     assert rows[21].spans == ""  # other words before, though their tails are the same
 
 
+def test_found_instances_seed_further_patterns(spark):
+    """Three contexts in a row, the second and third without a base entity; a pattern's own vote proves nothing."""
+    texts = [f"we wrote mail at user{i}@mail.example and left" for i in range(400)]
+    texts += [f"we wrote mail at one{i}(at)mail and left" for i in range(20)] + [f"please reach via one{i}(at)mail today" for i in range(20)]
+    texts += [f"please reach via two{i}(at)mail today" for i in range(3)] + [f"now page using two{i}(at)mail 1" for i in range(3)]
+    texts += [f"half known name{i}@mail.example" for i in range(6)] + [f"half known item{i}" for i in range(4)]
+    rows = {r.doc_id: r for r in personal_data(documents(spark, texts)).collect()}
+    marked = lambda i: [texts[i][int(a):int(b)] for _, a, b in (s.split(":") for s in rows[i].spans.split(",") if s)]
+    assert all(marked(i) == [texts[i].split()[-2]] for i in range(400, 440) if "via" in texts[i])
+    assert [marked(i) for i in range(440, 443)] == [[f"two{i}(at)mail"] for i in range(3)]
+    assert [marked(i)[:1] for i in range(443, 446)] == [[f"two{i}(at)mail"] for i in range(3)]
+    assert not any(marked(i) for i in range(452, 456))
+
+
 def test_odd_rows(spark):
     docs = documents(spark)
     check(personal_data(docs).collect(), {r.doc_id: r.text for r in docs.collect()})

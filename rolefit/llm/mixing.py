@@ -16,10 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rolefit.llm.common import SPACE_CHARS, WORD, materialize, text_or_empty
+from rolefit.llm.common import SPACE_CHARS, WORD, materialize, tasks, text_or_empty
 
-#: Rows of the per-source table that one task may hold; a corpus of more sources is refused.
+#: Rows of the per-source table that one task plans and that are broadcast; more sources are planned by sums over tasks.
 MAX_SOURCES = 200_000
+#: Divisors tried in one pass over the sources; salts of a source with more than one row in so many.
+TRIES, SALTS = 32, 64
 #: A prime above any number of blocks in a shard: multiplying by it permutes the block numbers.
 PRIME = 2_147_483_647
 
@@ -63,8 +65,6 @@ def targets_of(sizes: np.ndarray, weights: np.ndarray, cap: int) -> np.ndarray:
 
 def _plan_sources(weights: tuple, cap: int, block: int, shard_words: int, max_shards: int):
     def plan(rows: pd.DataFrame) -> pd.DataFrame:
-        if len(rows) > MAX_SOURCES:
-            raise ValueError(f"{len(rows)} sources; at most {MAX_SOURCES} are supported")
         named = rows[rows.source.notna()].sort_values("source", key=lambda s: s.map(lambda x: x.encode()))
         rows = pd.concat([named, rows[rows.source.isna()]], ignore_index=True)
         size = rows.source_size.to_numpy(np.int64)
@@ -76,6 +76,75 @@ def _plan_sources(weights: tuple, cap: int, block: int, shard_words: int, max_sh
     return plan
 
 
+def _numbered(frame: DataFrame, name: str, *order) -> DataFrame:
+    """``frame`` with ``pos``, its rows numbered from 0 in an order: a range sort, and an offset per partition."""
+    placed = frame.repartitionByRange(tasks(frame.sparkSession), *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    placed = materialize(placed, name)
+    offsets, total = {}, 0
+    for r in placed.groupBy(F.shiftright("at", 33).alias("part")).count().orderBy("part").collect():  # one row per partition
+        offsets[r.part], total = total, total + r["count"]
+    offset = F.create_map(*[F.lit(x).cast("long") for pair in offsets.items() for x in pair]) if offsets else F.create_map(F.lit(0).cast("long"), F.lit(0).cast("long"))
+    return placed.withColumn("pos", offset[F.shiftright("at", 33)] + F.col("at").bitwiseAND(F.lit(2**33 - 1))).drop("at")
+
+
+def _plan_many_sources(sources: DataFrame, weights: tuple, cap: int, block: int, shard_words: int, max_shards: int) -> DataFrame:
+    """What ``_plan_sources`` gives, for any number of sources: only sums over all of them reach the driver."""
+    rows = _numbered(sources, "mix-numbered", F.col("source").asc_nulls_last())
+    weight = F.array(*[F.lit(float(w)) for w in weights])[F.pmod("pos", F.lit(len(weights))).cast("int")]
+    rows = materialize(rows.withColumn("weight", weight), "mix-weighted")
+    most = F.lit(cap) * F.col("source_size")
+    total = rows.agg(F.sum("source_size")).first()[0]
+    share, capped = 0.0, -1  # a source's target is share * weight, at most ``most``: the share rises with every source that is capped
+    while True:
+        over = F.lit(share) * F.col("weight") > most
+        s = rows.agg(F.count_if(over).alias("n"), F.sum(F.when(over, most).otherwise(0)).alias("taken"), F.sum(F.when(over, 0.0).otherwise(F.col("weight"))).alias("free")).first()
+        if s.n == capped or not s.free:
+            break
+        share, capped = max(share, (total - s.taken) / s.free), s.n
+    target = F.when(F.lit(share) * F.col("weight") > most, most.cast("double")).otherwise(F.lit(share) * F.col("weight"))
+    rows = materialize(rows.withColumn("target", target).withColumn("most", F.lit(cap) * F.ceil(F.col("source_size") / block)), "mix-targets")
+    fill = lambda x: F.least(F.floor(F.col("target") / F.lit(x) + 0.5), F.col("most"))  # noqa: E731  quotients of at least x / 2
+    ends = rows.agg(F.sum(F.when(F.col("target") > 0, F.col("most"))).alias("most"), F.max("target").alias("high")).first()
+    seats = int(min(round(total / block), ends.most or 0))
+    low, high, given = 1e-12, 4 * (ends.high or 0.0) + 1, -1
+    while given != seats:  # fill(high) gives no more than the seats
+        tries = sorted({x for x in np.linspace(low, high, TRIES + 2).tolist() if low < x < high})
+        if not tries:
+            break
+        sums = rows.agg(*[F.sum(fill(x)).alias(f"s{i}") for i, x in enumerate(tries)]).first()
+        fits = [i for i, n in enumerate(sums) if n <= seats]
+        if not fits:
+            low = tries[-1]
+            continue
+        high, given = tries[fits[0]], sums[fits[0]]
+        low = tries[fits[0] - 1] if fits[0] else low
+    rows = rows.withColumn("seats", fill(high))
+    left = seats - rows.agg(F.sum("seats")).first()[0]
+    while left > 0:  # equal quotients: to the first
+        open_ = (F.col("target") > 0) & (F.col("seats") < F.col("most"))
+        asked = rows.filter(open_ & (fill(low) > F.col("seats")))
+        asked = rows.filter(open_) if asked.isEmpty() else asked
+        ranked = _numbered(asked.select(F.col("pos").alias("of"), (-F.col("target") / (2 * F.col("seats") + 1)).alias("q")), "mix-ties", "q", "of")
+        more = ranked.filter(F.col("pos") < left).select("of")
+        rows = materialize(rows.join(more, F.col("pos") == F.col("of"), "left").withColumn("seats", F.col("seats") + F.col("of").isNotNull().cast("long")).drop("of"), "mix-seats")
+        left = seats - rows.agg(F.sum("seats")).first()[0]
+    shards = F.greatest(F.lit(1), F.least(F.ceil(F.col("source_size") / shard_words), F.lit(max_shards)))
+    return rows.select("source", "source_size", "target", F.col("seats").cast("long").alias("seats"), shards.cast("long").alias("shards"))
+
+
+def _with_sources(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """``rows`` beside their sources by an equi-join, the few sources that have many rows dealt over ``SALTS`` keys."""
+    sizes = materialize(rows.groupBy("source").agg(F.count("*").alias("n")), "mix-rows")
+    many = (sizes.agg(F.sum("n")).first()[0] or 0) / SALTS
+    hot = [r.source for r in sizes.filter((F.col("n") > many) & (F.col("n") >= SALTS)).collect()]  # fewer than SALTS
+    is_hot = F.col("source").isin([x for x in hot if x is not None]) if any(x is not None for x in hot) else F.lit(False)
+    is_hot = F.coalesce(is_hot, F.lit(None in hot))
+    left = rows.withColumn("salt", F.when(is_hot, F.pmod("draw", F.lit(SALTS))).otherwise(0).cast("int"))
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    right = sources.withColumn("of_salt", F.explode(salts)).withColumnRenamed("source", "of_source")
+    return left.join(right, left.source.eqNullSafe(right.of_source) & (left.salt == right.of_salt)).drop("of_source", "salt", "of_salt")
+
+
 def _plan_shards(cap: int, block: int):
     def plan(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("shard")
@@ -98,19 +167,22 @@ def plan_mix(docs: DataFrame, weights: tuple = (5, 2, 1), cap: int = 3, block: i
     doc_id, source, size, source_size, target, first (its first word in the shard's stream), blocks, passes and
     rest (the shard's number of blocks, whole passes, and blocks taken once more), shift (of the selection).
     Null or empty texts have size 0 and are never taken; rows with a null doc_id and repeated rows are rows like
-    others; an empty table gives an empty result. Sources are one row each on one task (``MAX_SOURCES``); shards
-    keep a hot source from meeting in one task.
+    others; an empty table gives an empty result. Up to ``MAX_SOURCES`` sources are planned in one task, more
+    by sums over tasks, with the same result; shards keep a hot source from meeting in one task.
     """
     row_id = F.col(key) if key else F.monotonically_increasing_id()
     rows = materialize(docs.select(
         row_id.alias("row_id"), "doc_id", "source", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"),
         F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("draw")), "mix-sizes")
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    sources = sources.groupBy().applyInPandas(
-        _plan_sources(weights, cap, block, shard_words, max_shards), "source string, source_size long, target double, seats long, shards long")
-    sources = materialize(sources, "mix-sources")
-    # One row per source, refused above MAX_SOURCES: a bounded broadcast, and no shuffle on the hot source.
-    rows = rows.join(F.broadcast(sources), rows.source.eqNullSafe(sources.source)).drop(sources.source)
+    sources = materialize(sources, "mix-source-sizes")
+    if sources.count() > MAX_SOURCES:
+        rows = _with_sources(rows, materialize(_plan_many_sources(sources, weights, cap, block, shard_words, max_shards), "mix-sources"))
+    else:
+        sources = materialize(sources.groupBy().applyInPandas(
+            _plan_sources(weights, cap, block, shard_words, max_shards), "source string, source_size long, target double, seats long, shards long"), "mix-sources")
+        # One row per source, MAX_SOURCES at most: a bounded broadcast, and no shuffle on the hot source.
+        rows = rows.join(F.broadcast(sources), rows.source.eqNullSafe(sources.source)).drop(sources.source)
     rows = rows.withColumn("shard", F.pmod("draw", F.col("shards")))
     shards = rows.groupBy("source", "shard", "seats").agg(F.sum("size").alias("shard_size")).groupBy("source").applyInPandas(
         _plan_shards(cap, block), "source string, shard long, blocks long, passes long, rest long")

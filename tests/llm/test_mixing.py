@@ -3,6 +3,7 @@ import re
 import numpy as np
 import pytest
 
+from rolefit.llm import mixing
 from rolefit.llm.mixing import mix, mixed_documents, sainte_lague, targets_of
 from tests.llm.odd import documents, null_rows
 
@@ -56,6 +57,19 @@ def test_documents_of_the_mix_hold_the_words_taken(spark):
     assert {k: v for k, v in taken.items() if v} == words.to_dict()
 
 
+def test_any_number_of_sources(spark, monkeypatch):
+    """The plan by sums is that of one task: capped and empty sources, ties, a null and a hot source."""
+    rows = [(i, " ".join(["w"] * (i * 7 % 300)), None if i % 50 == 0 else "hot" if i % 3 == 0 else f"s{i % 140:03d}") for i in range(600)]
+    rows += [(600 + i, " ".join(["w"] * 100), f"tie{i:03d}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    known = {r.doc_id: r for r in mix(docs, block=8).collect()}
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 10)
+    found = {r.doc_id: r for r in mix(docs, block=8).collect()}
+    assert len(known) == len(found) == len(rows)
+    for i, r in known.items():
+        assert found[i].target == pytest.approx(r.target) and (found[i].source_size, found[i].taken) == (r.source_size, r.taken)
+
+
 def test_odd_rows(spark):
     assert mix(documents(spark, empty=True)).count() == 0 and mixed_documents(documents(spark, empty=True)).count() == 0
     assert sorted(r["size"] for r in mix(null_rows(spark)).collect()) == [0, 0, 2, 2]

@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-Three machines are compiled from a model: the normaliser (blanks become the piece mark, one is put in front), the
-lexicon of pieces (a trie whose paths spell pieces), and byte fallback (a character without a piece becomes its
-bytes). A text composed with them is a lattice of positions and pieces, and its shortest path in the tropical
+Two machines are compiled from a model: the lexicon of pieces (a trie whose paths spell pieces), and byte fallback (a
+character without a piece becomes its bytes). No normaliser is compiled: blanks are replaced by the piece mark and one
+is put in front before, and models with a precompiled charsmap or remove_extra_whitespaces (nmt_nfkc, SentencePiece's
+defaults) are refused. A text composed with the machines is a lattice of positions and pieces, and its shortest path in the tropical
 semiring (weights add along a path, the least path wins) is the encoding. Of a unigram model a piece weighs its
 negative score. Of a BPE model a piece weighs nothing, but a piece may follow another only if merging them by rank
 leaves both as they are (else the arc weighs infinity): exactly one path is finite then, the one that merges give.

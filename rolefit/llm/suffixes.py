@@ -1,11 +1,12 @@
-"""Exact repeats of long byte strings, by a sparse suffix array.
+"""Exact repeats of long byte strings, by a sparse suffix array ordered by hashes.
 
 Of every window of LENGTH bytes the suffix at its anchor stands for it: the start of the least gram in the window, so
 that equal windows have their anchors at equal places. About one byte in 170 is an anchor. Anchored suffixes are
 partitioned by ranges of their leading tokens at sampled splitters, sorted in their ranges and compared with their
 neighbours, also across boundaries; a suffix whose leading tokens occur nowhere else stands for no repeat. Where all
 windows of an anchor occur with the same bytes elsewhere, all are repeats at once. Windows of the other anchors are
-compared one by one, among anchors of the same leading tokens.
+compared one by one, among anchors of the same leading tokens. Beyond the first 8 bytes the order is that of two 64-bit
+hashes, of the gram and of its surroundings: neighbours are tested for equal hashes, not for common prefixes.
 """
 
 from __future__ import annotations

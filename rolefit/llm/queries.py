@@ -75,6 +75,12 @@ def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rolefit.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rolefit.llm.hard_negatives import hard_negatives
 
@@ -88,7 +94,7 @@ def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_duplicates, op2_simhash_fingerprints, op3_piece_codes, op4_source_mix, op5_personal_data, op6_quality_scores, op7_top_products, op8_license_scan, op9_token_files, op10_repeated_spans, op12_hard_negatives, op13_spelling_groups)
+    f.__name__: f for f in (op1_near_duplicates, op2_simhash_fingerprints, op3_piece_codes, op4_source_mix, op5_personal_data, op6_quality_scores, op7_top_products, op8_license_scan, op9_token_files, op10_repeated_spans, op11_toxicity_scores, op12_hard_negatives, op13_spelling_groups)
 }
 #: Where SQL can say the same over the whole tables; the other queries are tested against plain versions.
 ORACLE: dict[str, str] = {

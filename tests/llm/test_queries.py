@@ -11,6 +11,7 @@ COLUMNS = {
     "op5": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"], "op6": ["doc_id", "held_out", "score", "predicted"],
     "op7": ["query_id", "rank", "vec_id", "score"], "op8": ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
     "op9": ["doc_id", "start", "n_tokens", "ids_crc32"], "op10": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+    "op11": ["doc_id", "held_out", "score", "predicted"],
     "op12": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"], "op13": ["word", "form", "root", "n", "n_near", "form_n"],
 }
 

@@ -21,6 +21,15 @@ def materialize(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """row_id and doc (a struct of all columns) per row of ``docs``, written once.
+
+    Whatever is joined by row_id has to read this: a number evaluated anew in a later scan is another one as soon as the
+    scan is split differently, which a lost executor is enough for.
+    """
+    return materialize(docs.select(F.monotonically_increasing_id().alias("row_id"), F.struct(*docs.columns).alias("doc")), name)
+
+
 def tasks(spark: SparkSession) -> int:
     """Partitions that the session asks a shuffle to make."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

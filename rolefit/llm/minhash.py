@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rolefit.llm.common import materialize, text_or_empty
+from rolefit.llm.common import materialize, numbered, text_or_empty
 from rolefit.llm.components import components
 
 #: A pair of similarity s shares no bucket with probability (1 - s**ROWS)**BANDS: 6e-9 at 0.85.
@@ -212,8 +212,14 @@ def _assigned(rows: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFram
 
 
 def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """``docs`` with one row of every group of near duplicates: that of the least doc_id, of repeated rows the first."""
-    keyed = docs.select("*", F.monotonically_increasing_id().alias("__row"))
-    found = near_duplicates(keyed.select("doc_id", "text", "__row"), percent, key="__row")
-    kept = found.filter("kept").groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("row_id")).alias("own")).agg(F.min("row_id").alias("__row"))
-    return keyed.join(kept.select("__row"), "__row", "left_semi").drop("__row")
+    """``docs`` with one row of every group of near duplicates: that of the least doc_id, of repeated ids the first row.
+
+    Rows, not ids, are compared: of rows that share a doc_id those of unlike texts stay, and copies without a doc_id
+    are copies. Rows without words stay all.
+    """
+    rows = numbered(docs, "minhash-numbered")
+    vertices = rows.select(F.col("row_id").alias("doc_id"), F.col("doc.text").alias("text"))
+    found = near_duplicates(vertices, percent).select(F.col("doc_id").alias("vertex"), "component_id")
+    named = found.join(rows.select("row_id", F.col("doc.doc_id").alias("id")), F.col("vertex") == F.col("row_id"))
+    kept = named.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "row_id")).alias("least"))
+    return rows.join(kept.select(F.col("least.row_id").alias("row_id")), "row_id", "left_semi").select("doc.*")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rolefit.llm.common import materialize, text_or_empty
+from rolefit.llm.common import materialize, numbered, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -159,8 +159,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; n_chars follows where there is such a column."""
-    keyed = docs.select(F.monotonically_increasing_id().alias("row_id"), F.struct(*docs.columns).alias("doc"), "doc_id", "text")
-    spans = find(keyed, key="row_id").filter("size(spans) > 0").select(F.col("row_id").alias("of"), "spans")
+    keyed = numbered(docs, "pii-numbered")
+    spans = find(keyed.select("row_id", "doc.doc_id", "doc.text"), key="row_id").filter("size(spans) > 0").select(F.col("row_id").alias("of"), "spans")
     rows = keyed.select("row_id", "doc").join(spans, F.col("row_id") == F.col("of"), "left")
     text = F.expr("""CASE WHEN spans IS NULL THEN doc.text ELSE aggregate(spans, struct(0L AS at, '' AS out), (acc, s) -> if(s.start < acc.at,
         struct(greatest(acc.at, s.end) AS at, acc.out AS out),

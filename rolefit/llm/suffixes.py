@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rolefit.llm.common import materialize, tasks, text_or_empty
+from rolefit.llm.common import materialize, numbered, tasks, text_or_empty
 
 #: Bytes of a repeat, bytes of an anchor's leading tokens.
 LENGTH, GRAM = 400, 64
@@ -279,7 +279,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, together: int = TOGET
     Every byte covered by a string of ``length`` bytes that also starts anywhere else is removed, in the first of equal
     places as well. Null texts are empty; repeated rows are repeats of one another; texts shorter than ``length`` stay.
     """
-    texts = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", text_or_empty().alias("text"))
+    texts = numbered(docs.select("doc_id", "text"), "suffix-texts").select("row_id", "doc.doc_id", text_or_empty("doc.text").alias("text"))
     ranges = repeated_ranges(texts.select("row_id", "text"), length, together=together)
     by_text = materialize(ranges.groupBy("row_id").agg(F.collect_list(F.struct("from", "to")).alias("ranges")), "suffix-ranges")  # at most the anchors of one text
     kind = docs.schema["doc_id"].dataType.simpleString()

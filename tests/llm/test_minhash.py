@@ -97,3 +97,10 @@ def test_odd_rows(spark):
     assert kept.columns == documents(spark).columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, (_, c) in brute([(r.doc_id, r.text) for r in documents(spark).collect()]).items() if i == c)
     assert keep_one(null_rows(spark)).count() == 3
+
+
+def test_one_row_of_each_text_stays_whatever_the_ids(spark):
+    a, b, c = (" ".join(f"{p}{i}" for i in range(40)) for p in "abc")
+    rows = [(1, a), (1, b), (2, c), (2, c + " tail"), (None, a), (None, "null only " + b[:20]), (None, "null only " + b[:20])]
+    kept = keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text[:9]) for r in kept) == sorted([(0, "null only"), (1, a[:9]), (1, b[:9]), (2, c[:9])])

@@ -1,9 +1,10 @@
 """Mixing sources to target weights: Sainte-Laguë apportionment of equal-token blocks.
 
 The words of a source form streams (one per shard of the source, documents in a seeded order), cut
-into blocks of equal length. The blocks of the whole mix are seats: Sainte-Laguë gives them to the
-sources, and a source's seats to its shards, by highest quotients. A shard takes every block as often
-as its quota holds whole passes, and a seeded selection of blocks for what is left.
+into blocks of equal length. The words of the whole mix are seats: Sainte-Laguë gives them to the
+sources by highest quotients. A source's quota is counted in blocks of its own, a small part of what it has or
+is to give at most, and its shards get blocks by highest quotients. A shard takes every block as often as its quota holds
+whole passes, and a seeded selection of blocks for what is left.
 """
 
 from __future__ import annotations
@@ -16,12 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rolefit.llm.common import SPACE_CHARS, WORD, materialize, tasks, text_or_empty
+from rolefit.llm.common import SPACE_CHARS, WORD, materialize, numbered, tasks, text_or_empty
 
 #: Rows of the per-source table that one task plans and that are broadcast; more sources are planned by sums over tasks.
 MAX_SOURCES = 200_000
 #: Divisors tried in one pass over the sources; salts of a source with more than one row in so many.
 TRIES, SALTS = 32, 64
+#: Blocks that a source's words, and those the mix takes of it, hold at least, where a block of one word allows it.
+LEAST_BLOCKS = 64
 #: A prime above any number of blocks in a shard: multiplying by it permutes the block numbers.
 PRIME = 2_147_483_647
 
@@ -70,8 +73,9 @@ def _plan_sources(weights: tuple, cap: int, block: int, shard_words: int, max_sh
         size = rows.source_size.to_numpy(np.int64)
         weight = np.array([weights[i % len(weights)] for i in range(len(rows))], float)
         target = targets_of(size, weight, cap)
-        seats = sainte_lague(target, round(int(size.sum()) / block), cap * -(-size // block))
-        return rows.assign(target=target, seats=seats, shards=np.clip(-(-size // shard_words), 1, max_shards))
+        words = sainte_lague(target, int(size.sum()), cap * size)
+        own = np.clip(np.minimum(size, words) // LEAST_BLOCKS, 1, block)
+        return rows.assign(target=target, block=own, seats=(2 * words + own) // (2 * own), shards=np.clip(-(-size // shard_words), 1, max_shards))
 
     return plan
 
@@ -102,10 +106,10 @@ def _plan_many_sources(sources: DataFrame, weights: tuple, cap: int, block: int,
             break
         share, capped = max(share, (total - s.taken) / s.free), s.n
     target = F.when(F.lit(share) * F.col("weight") > most, most.cast("double")).otherwise(F.lit(share) * F.col("weight"))
-    rows = materialize(rows.withColumn("target", target).withColumn("most", F.lit(cap) * F.ceil(F.col("source_size") / block)), "mix-targets")
+    rows = materialize(rows.withColumn("target", target).withColumn("most", most), "mix-targets")
     fill = lambda x: F.least(F.floor(F.col("target") / F.lit(x) + 0.5), F.col("most"))  # noqa: E731  quotients of at least x / 2
     ends = rows.agg(F.sum(F.when(F.col("target") > 0, F.col("most"))).alias("most"), F.max("target").alias("high")).first()
-    seats = int(min(round(total / block), ends.most or 0))
+    seats = int(min(total or 0, ends.most or 0))
     low, high, given = 1e-12, 4 * (ends.high or 0.0) + 1, -1
     while given != seats:  # fill(high) gives no more than the seats
         tries = sorted({x for x in np.linspace(low, high, TRIES + 2).tolist() if low < x < high})
@@ -129,7 +133,10 @@ def _plan_many_sources(sources: DataFrame, weights: tuple, cap: int, block: int,
         rows = materialize(rows.join(more, F.col("pos") == F.col("of"), "left").withColumn("seats", F.col("seats") + F.col("of").isNotNull().cast("long")).drop("of"), "mix-seats")
         left = seats - rows.agg(F.sum("seats")).first()[0]
     shards = F.greatest(F.lit(1), F.least(F.ceil(F.col("source_size") / shard_words), F.lit(max_shards)))
-    return rows.select("source", "source_size", "target", F.col("seats").cast("long").alias("seats"), shards.cast("long").alias("shards"))
+    words = F.col("seats").cast("long")
+    own = F.greatest(F.lit(1).cast("long"), F.least(F.expr(f"least(source_size, cast(seats AS bigint)) DIV {LEAST_BLOCKS}"), F.lit(block).cast("long")))
+    rows = rows.select("source", "source_size", "target", words.alias("words"), own.alias("block"), shards.cast("long").alias("shards"))
+    return rows.select("source", "source_size", "target", "block", F.expr("(2 * words + block) DIV (2 * block)").alias("seats"), "shards")
 
 
 def _with_sources(rows: DataFrame, sources: DataFrame) -> DataFrame:
@@ -145,11 +152,11 @@ def _with_sources(rows: DataFrame, sources: DataFrame) -> DataFrame:
     return left.join(right, left.source.eqNullSafe(right.of_source) & (left.salt == right.of_salt)).drop("of_source", "salt", "of_salt")
 
 
-def _plan_shards(cap: int, block: int):
+def _plan_shards(cap: int):
     def plan(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("shard")
         size = rows.shard_size.to_numpy(np.int64)
-        blocks = -(-size // block)
+        blocks = -(-size // rows.block.to_numpy(np.int64))
         quota = sainte_lague(size, int(rows.seats.iloc[0]), cap * blocks)
         passes = np.where(blocks > 0, quota // np.maximum(blocks, 1), 0)
         return rows.assign(blocks=blocks, passes=passes, rest=quota - passes * blocks)[["source", "shard", "blocks", "passes", "rest"]]
@@ -165,7 +172,8 @@ def plan_mix(docs: DataFrame, weights: tuple = (5, 2, 1), cap: int = 3, block: i
     are numbered as they are scanned). Sources in code point order (null last) weigh ``weights`` in turn and share
     all words; no source is taken more than ``cap`` times over. Returns a row per row of ``docs``: row_id,
     doc_id, source, size, source_size, target, first (its first word in the shard's stream), blocks, passes and
-    rest (the shard's number of blocks, whole passes, and blocks taken once more), shift (of the selection).
+    rest (the shard's number of blocks, whole passes, and blocks taken once more), shift (of the selection), block (the words
+    of a block of its source, ``block`` at most).
     Null or empty texts have size 0 and are never taken; rows with a null doc_id and repeated rows are rows like
     others; an empty table gives an empty result. Up to ``MAX_SOURCES`` sources are planned in one task, more
     by sums over tasks, with the same result; shards keep a hot source from meeting in one task.
@@ -180,19 +188,19 @@ def plan_mix(docs: DataFrame, weights: tuple = (5, 2, 1), cap: int = 3, block: i
         rows = _with_sources(rows, materialize(_plan_many_sources(sources, weights, cap, block, shard_words, max_shards), "mix-sources"))
     else:
         sources = materialize(sources.groupBy().applyInPandas(
-            _plan_sources(weights, cap, block, shard_words, max_shards), "source string, source_size long, target double, seats long, shards long"), "mix-sources")
+            _plan_sources(weights, cap, block, shard_words, max_shards), "source string, source_size long, target double, block long, seats long, shards long"), "mix-sources")
         # One row per source, MAX_SOURCES at most: a bounded broadcast, and no shuffle on the hot source.
         rows = rows.join(F.broadcast(sources), rows.source.eqNullSafe(sources.source)).drop(sources.source)
     rows = rows.withColumn("shard", F.pmod("draw", F.col("shards")))
-    shards = rows.groupBy("source", "shard", "seats").agg(F.sum("size").alias("shard_size")).groupBy("source").applyInPandas(
-        _plan_shards(cap, block), "source string, shard long, blocks long, passes long, rest long")
+    shards = rows.groupBy("source", "shard", "seats", "block").agg(F.sum("size").alias("shard_size")).groupBy("source").applyInPandas(
+        _plan_shards(cap), "source string, shard long, blocks long, passes long, rest long")
     shards = shards.select(F.col("source").alias("of"), F.col("shard").alias("part"), "blocks", "passes", "rest")
     order = W.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "draw"), "row_id")
     placed = rows.withColumn("first", F.sum("size").over(order) - F.col("size"))
     joined = placed.join(shards, placed.source.eqNullSafe(shards.of) & (placed.shard == shards.part))
     shift = F.pmod(F.xxhash64(F.lit(seed + 2), "source", "shard"), F.greatest("blocks", F.lit(1)))
     return joined.select("row_id", "doc_id", "source", "size", "source_size", "target", "first", "blocks", "passes", "rest",
-                         shift.alias("shift")).withColumn("block", F.lit(block))
+                         shift.alias("shift"), "block")
 
 
 #: Words of a document that lie in block j and are taken by the selection of the rest.
@@ -215,8 +223,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     run of taken blocks, white space inside kept, runs joined by a line break. Documents that are not taken go,
     those without words among them: they hold nothing to train on.
     """
-    keyed = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text", "source", F.struct(*docs.columns).alias("doc"))
-    plan = plan_mix(keyed, key="row_id", **options)
+    keyed = numbered(docs, "mix-documents")
+    plan = plan_mix(keyed.select("row_id", "doc.doc_id", "doc.text", "doc.source"), key="row_id", **options)
     runs = F.expr(f"""filter(transform(sequence(first DIV block, (first + size - 1) DIV block),
         j -> struct(greatest(first, j * block) - first AS lo, {_PIECE} AS n)), p -> p.n > 0)""")
     parts = F.when((F.col("rest") == 0) | (F.col("size") == 0), F.expr("cast(array() AS array<struct<lo:bigint,n:bigint>>)")).otherwise(runs)

@@ -70,6 +70,16 @@ def test_any_number_of_sources(spark, monkeypatch):
         assert found[i].target == pytest.approx(r.target) and (found[i].source_size, found[i].taken) == (r.source_size, r.taken)
 
 
+@pytest.mark.parametrize("planner", ["one task", "sums"])
+def test_small_sources_come_near_their_targets(spark, monkeypatch, planner):
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 10 if planner == "sums" else 10**6)
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(["w"] * int(rng.integers(3, 91))), f"s{i:04d}") for i in range(300)] + [(1000 + i, " ".join(["w"] * 50), "s0003x") for i in range(200)]
+    out = mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).toPandas()
+    sums = out.groupby("source").agg(taken=("taken", "sum"), target=("target", "first"))
+    assert (abs(sums.taken - sums.target) <= np.maximum(1, 0.05 * sums.target)).all() and (out.taken <= 3 * out["size"]).all()
+
+
 def test_odd_rows(spark):
     assert mix(documents(spark, empty=True)).count() == 0 and mixed_documents(documents(spark, empty=True)).count() == 0
     assert sorted(r["size"] for r in mix(null_rows(spark)).collect()) == [0, 0, 2, 2]

@@ -38,7 +38,7 @@ SWAP, MARK, DROP, GAP, REPEAT, EXCESS = 0.7, 0.3, 6.0, 3.0, 1.0, 6.0
 #: Classes of characters: 0 parts words, 1 to 26 a to z, then the letters of Latin-1 and Latin Extended-A, the last for other letters.
 CLASSES = 64
 #: Labelled rows that a model is fit to at most, and the most words and beginnings with a weight.
-MAX_ROWS, MAX_WEIGHTS = 200_000, 200_000
+MAX_ROWS, MAX_WEIGHTS = 40_000, 200_000
 #: Code points of the shortest and longest beginning of a word that has a weight of its own.
 SHORTEST, LONGEST = 3, 7
 #: Least labelled toxic rows with a word, least weight, and standard errors taken off the log odds.
@@ -234,29 +234,39 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+class Weights:
+    """The weight of a word: the greatest of its marks. Most words share no first letters with any mark."""
+
+    def __init__(self, weights: dict[str, float]) -> None:
+        self.weights = weights
+        self.starts = {m.removesuffix("$")[:SHORTEST] for m in weights}
+
+    def __call__(self, word: str) -> float:
+        return max(self.weights.get(m, 0.0) for m in marks(word)) if word[:SHORTEST] in self.starts else 0.0
+
+
 class Reader:
     """Scores texts; tokens met before are looked up."""
 
     def __init__(self, model: Model) -> None:
-        self.model, self.known = model, {}
+        self.letters, self.weight, self.known = model.letters, Weights(model.weights), {}
 
-    def token(self, token: str) -> tuple[int, list[tuple[str, float]]]:
+    def token(self, token: str) -> tuple[int, tuple[tuple[str, float], ...]]:
         """How many words a token holds, and those of them that have a weight."""
-        if (found := self.known.get(token)) is None:
-            if len(self.known) >= HELD:
-                self.known.clear()
-            words, weight = words_of(token, self.model.letters), self.model.weights.get
-            rated = [(w, max(weight(m, 0.0) for m in marks(w))) for w in words]
-            found = self.known[token] = (len(words), [r for r in rated if r[1] > 0])
+        if len(self.known) >= HELD:
+            self.known.clear()
+        words = words_of(token, self.letters)
+        found = self.known[token] = (len(words), tuple((w, x) for w in words if (x := self.weight(w)) > 0))
         return found
 
     def sums(self, text: str) -> list[float]:
         counts = Counter(tokens(text))
-        rated, words = {}, 0
+        rated, words, known = {}, 0, self.known
         for token, n in counts.items():
-            own, some = self.token(token)
-            words += own * n
-            rated.update(some)
+            found = known.get(token) or self.token(token)
+            words += found[0] * n
+            if found[1]:
+                rated.update(found[1])
         return sums(list(rated.values()), words, len(counts))
 
 
@@ -298,22 +308,20 @@ def _weights(rows: DataFrame) -> pd.DataFrame:
     """mark, w0 to w4: weights from all rows and without each fold. Tasks count their own rows before anything moves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        counts: dict[int, Counter] = {}
 
-        def out() -> pa.RecordBatch:
-            names = pa.array([k[0] for k in counts], pa.string())
-            return pa.RecordBatch.from_pydict({"mark": names, "kind": pa.array([k[1] for k in counts], pa.int32()), "n": pa.array(counts.values(), pa.int64())})
+        def out(kind: int) -> pa.RecordBatch:
+            names, n = counts[kind].keys(), counts[kind].values()
+            return pa.RecordBatch.from_pydict({"mark": pa.array(names, pa.string()), "kind": pa.array([kind] * len(names), pa.int32()), "n": pa.array(n, pa.int64())})
 
         for batch in batches:
             for words, y, fold in zip(batch.column("words").to_pylist(), batch.column("y").to_pylist(), batch.column("fold").to_pylist(), strict=True):
-                kind = 2 * fold + y
-                counts.update({(m, kind) for w in words for m in marks(w)})
-                counts["", kind] += 1
-                if len(counts) >= HELD:
-                    yield out()
+                own = counts.setdefault(2 * fold + y, Counter())
+                own.update(set().union([""], *map(marks, words)))  # the empty mark counts rows
+                if sum(map(len, counts.values())) >= HELD:
+                    yield from map(out, counts)
                     counts.clear()
-        if counts:
-            yield out()
+        yield from map(out, counts)
 
     split = {f"c{k}": F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)) for k in range(2, 10)}
     counted = rows.select("words", "y", "fold").mapInArrow(run, "mark string, kind int, n long").groupBy("mark").agg(*[v.alias(k) for k, v in split.items()])
@@ -346,14 +354,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     rows = _labelled(docs, labels, letters, max_rows)
     table = _weights(rows)
     model = Model(letters, {m: w for m, w in zip(table["mark"], table["w0"], strict=True) if w > 0})
-    by_fold = [{}] + [{m: w for m, w in zip(table["mark"], table[f"w{f}"], strict=True) if w > 0} for f in range(1, 5)]
+    by_fold = [Weights({})] + [Weights({m: w for m, w in zip(table["mark"], table[f"w{f}"], strict=True) if w > 0}) for f in range(1, 5)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = []
             for r in batch.to_pylist():
-                weight = by_fold[r["fold"]].get
-                rated = (max(weight(m, 0.0) for m in marks(w)) for w in r["words"])
+                rated = map(by_fold[r["fold"]], r["words"])
                 x.append(sums([w for w in rated if w > 0], r["n"], r["kinds"]))
             yield pa.RecordBatch.from_pydict({"y": batch.column("y"), "x": pa.array(x, pa.list_(pa.float64()))})
 

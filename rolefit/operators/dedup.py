@@ -37,15 +37,18 @@ def bloom_size(n: Column, p: float) -> Column:
     return F.struct(m.alias("m"), k.alias("k"))
 
 
-def bloom_params(df: DataFrame, p: float = 0.01, minimum: int = 1000) -> DataFrame:
-    """One row: rows in the frame, n, m, k and the filter's size in KB."""
-    n = df.agg(F.count(F.lit(1)).alias("rows")).withColumn("n", F.greatest("rows", F.lit(minimum)))
+def _params(counted: DataFrame, p: float, minimum: int) -> DataFrame:
     return (
-        n.withColumn("s", bloom_size(F.col("n"), p))
+        counted.withColumn("n", F.greatest("rows", F.lit(minimum))).withColumn("s", bloom_size(F.col("n"), p))
         .select("rows", "n", "s.m", "s.k", (F.floor((F.col("s.m") + 7) / 8) / F.lit(1024.0).cast("double")).alias("size_kb"))
     )
 
 
+def bloom_params(df: DataFrame, p: float = 0.01, minimum: int = 1000) -> DataFrame:
+    """One row: rows in the frame, n, m, k and the filter's size in KB."""
+    return _params(df.agg(F.count(F.lit(1)).alias("rows")), p, minimum)
+
+
 def hex_mod(hex_digits: Column, length: int, m: Column) -> Column:
     """Value of a long hex string modulo m by Horner's rule."""
     out = F.lit(0).cast("bigint")
@@ -56,6 +59,18 @@ def hex_mod(hex_digits: Column, length: int, m: Column) -> Column:
     return out
 
 
+def bloom_digest(key: Column) -> Column:
+    """What positions are computed from: the hex digits of md5 and sha1 of a key, null for a null key."""
+    binary = key.cast("string").cast("binary")
+    return F.concat(F.md5(binary), F.sha1(binary))
+
+
+def bloom_positions(digest: Column, m: Column, k: Column) -> Column:
+    """Array of the k bit positions (md5 + i * sha1) mod m."""
+    h1, h2 = hex_mod(F.substring(digest, 1, 32), 32, m), hex_mod(F.substring(digest, 33, 40), 40, m)
+    return F.transform(F.sequence(F.lit(0).cast("bigint"), k - 1), lambda i: (h1 + i * h2) % m)
+
+
 def bloom_bits(df: DataFrame, key: Column, m: Column, k: Column) -> DataFrame:
     """The rows of a frame, once per hash function, with its number ``i`` and bit position ``pos``.
 
@@ -70,37 +85,49 @@ def bloom_bits(df: DataFrame, key: Column, m: Column, k: Column) -> DataFrame:
     )
 
 
-def first_seen(df: DataFrame, key: Column, order: str) -> DataFrame:
-    """(key, first_seq): distinct keys with the position of their first row."""
-    return df.select(key.alias("key"), F.col(order).alias("_seq")).groupBy("key").agg(F.min("_seq").alias("first_seq"))
+def distinct_keys(df: DataFrame, key: Column, order: str) -> DataFrame:
+    """(digest, first_seq, rows): each key once, by its digest, so that long keys never leave their task."""
+    slim = df.select(bloom_digest(key).alias("digest"), F.col(order).alias("_seq"))
+    return slim.groupBy("digest").agg(F.min("_seq").alias("first_seq"), F.count(F.lit(1)).alias("rows"))
 
 
 def bloom_verdict(df: DataFrame, key: Column, order: str, p: float = 0.01, minimum: int = 1000,
                   size: tuple[int, int] | None = None, prior: DataFrame | None = None) -> DataFrame:
-    """(key, first_seq, dropped) of a filter that reads the rows in order.
+    """(first_seq, dropped) per key of a filter that reads the rows in order.
 
     The sequential filter sets a row's bits when it keeps the row. A row it drops has all its bits
     set already, so "bit set before row t" simply means "some earlier row hashes there", and the
-    first row per bit is a grouped minimum. Only the first row of a key can be kept, hence only
+    first row per bit is a minimum over the bit. Only the first row of a key can be kept, hence only
     distinct keys take part: copies of one key never meet in one group, and a bit is shared by
-    less than one key on average.
+    less than one key on average. Bits are exchanged once, as three numbers each; the minimum stays beside
+    every bit, and a key's bits are summed up in each task before they meet.
 
     ``size`` fixes (m, k) instead of sizing for the rows at hand. ``prior`` is a bitmap of earlier
     rows, see bloom_bitmap(); its bits count as set before the first row.
     """
+    return _verdict(distinct_keys(df, key, order), p, minimum, size, prior)
+
+
+def _sized(keys: DataFrame, p: float, minimum: int) -> DataFrame:
+    """One row (rows, n, m, k, size_kb) from distinct_keys(); shares their exchange with whatever else reads them."""
+    return _params(keys.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")), p, minimum)
+
+
+def _verdict(keys: DataFrame, p: float, minimum: int, size: tuple[int, int] | None = None, prior: DataFrame | None = None) -> DataFrame:
     if size is None:
-        params = bloom_params(df, p, minimum).select(F.struct("m", "k").alias("s")).scalar()
+        params = _sized(keys, p, minimum).select(F.struct("m", "k").alias("s")).scalar()
         m, k = params["m"], params["k"]
     else:
         m, k = F.lit(size[0]).cast("bigint"), F.lit(size[1]).cast("bigint")
-    bits = bloom_bits(first_seen(df, key, order), F.col("key"), m, k)
-    owner = bits.groupBy("pos").agg(F.min("first_seq").alias("owner_seq"))
-    early = F.col("owner_seq") < F.col("first_seq")
+    keyed = keys.filter("digest IS NOT NULL").withColumns({"_m": m, "_k": k})
+    bits = keyed.select(F.xxhash64("digest").alias("key64"), "first_seq", F.explode(bloom_positions(F.col("digest"), F.col("_m"), F.col("_k"))).alias("pos"))
+    early = F.min("first_seq").over(Window.partitionBy("pos")) < F.col("first_seq")
     if prior is not None:
-        placed = owner.withColumns({"bucket": F.bitmap_bucket_number("pos"), "bit": F.bitmap_bit_position("pos")})
-        owner = placed.join(prior, "bucket", "left").select("pos", "owner_seq", _bit_is_set().alias("was_set"))
+        placed = bits.withColumns({"bucket": F.bitmap_bucket_number("pos"), "bit": F.bitmap_bit_position("pos")})
+        bits = placed.join(prior, "bucket", "left").select("key64", "first_seq", "pos", _bit_is_set().alias("was_set"))
         early = early | F.col("was_set")
-    return bits.join(owner, "pos").groupBy("key", "first_seq").agg(F.min(early).alias("dropped"))
+    verdict = bits.withColumn("early", early).groupBy("key64", "first_seq").agg(F.min("early").alias("dropped"))
+    return verdict.select("first_seq", "dropped")
 
 
 def _bit_is_set() -> Column:
@@ -122,12 +149,13 @@ def bloom_false_positives(df: DataFrame, key: Column, order: str, p: float = 0.0
 
 
 def ingest_stats(df: DataFrame, key: Column, order: str, p: float = 0.01, minimum: int = 1000) -> DataFrame:
-    """One row of counters over a whole ingest."""
-    verdict = bloom_verdict(df, key, order, p, minimum).agg(
+    """One row of counters over a whole ingest; the rows are read once, their distinct keys are exchanged once."""
+    keys = distinct_keys(df, key, order)
+    verdict = _verdict(keys, p, minimum).agg(
         F.coalesce(F.sum(F.when(F.col("dropped"), 0).otherwise(1)), F.lit(0)).alias("ingested"),
         F.coalesce(F.sum(F.when(F.col("dropped"), 1).otherwise(0)), F.lit(0)).alias("bloom_false_positives"),
     )
-    params = bloom_params(df, p, minimum).select(F.struct("rows", "size_kb").alias("s")).scalar()
+    params = _sized(keys, p, minimum).select(F.struct("rows", "size_kb").alias("s")).scalar()
     return verdict.select(
         params["rows"].alias("total_seen"),
         (params["rows"] - F.col("ingested")).alias("duplicates"),

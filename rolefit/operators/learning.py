@@ -2,23 +2,27 @@
 
 An update compares a posting's signals with the running average of those seen before, moves the
 weights along the difference, clips at zero and renormalises. The clip makes it order-dependent, so
-each profile's events are folded in sequence. The fold streams: rows arrive sorted (Spark's
-external sort spills), one state of 17 numbers is held per task, and no history is ever gathered in
-a list. Saved states let later runs fold new events only.
+each profile's events are folded in sequence, but profiles do not touch one another: a task steps all
+profiles of a batch at once, their first events as one matrix, then their second ones, and so on. The fold streams:
+rows arrive sorted (Spark's external sort spills), a profile's state before its events, and only the
+last profile of a batch is carried to the next. Saved states let later runs fold new events only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rolefit import vocab
 
 N = len(vocab.SIGNALS)
-STATE_SCHEMA = "profile_id bigint, weights array<double>, baseline array<double>, n_seen bigint, lr double"
+STATE = ["profile_id", "weights", "baseline", "n_seen", "lr", "epsilon"]
+STATE_SCHEMA = "profile_id bigint, weights array<double>, baseline array<double>, n_seen bigint, lr double, epsilon double"
+FEW = 4  # profiles with events left below which a step per profile is cheaper than a step of matrices
 
 
 def reward(action: Column) -> Column:
@@ -37,13 +41,17 @@ def fresh_state(profiles: DataFrame) -> DataFrame:
     return profiles.select(
         "profile_id", start_weights(F.col("base_weights")).alias("weights"),
         F.array_repeat(F.lit(vocab.BASELINE_START), N).alias("baseline"),
-        F.lit(0).cast("bigint").alias("n_seen"), F.lit(vocab.LEARNING_RATE).alias("lr"))
+        F.lit(0).cast("bigint").alias("n_seen"), F.lit(vocab.LEARNING_RATE).alias("lr"), F.lit(vocab.EPSILON).alias("epsilon"))
 
 
 def resumed_state(profiles: DataFrame, saved: DataFrame) -> DataFrame:
-    """Saved state where there is one; missing weights and a baseline of another length are reset."""
+    """Saved state where there is one; missing weights and a baseline of another length are reset.
+
+    States saved without an exploration rate take the default one.
+    """
+    rate = F.col("epsilon") if "epsilon" in saved.columns else F.lit(None).cast("double")
     old = saved.select("profile_id", F.col("weights").alias("_w"), F.col("baseline").alias("_b"),
-                       F.col("n_seen").alias("_n"), F.col("lr").alias("_lr"))
+                       F.col("n_seen").alias("_n"), F.col("lr").alias("_lr"), rate.alias("_e"))
     weights = F.when(F.col("_w").isNotNull(), F.array(*[
         F.coalesce(F.try_element_at("_w", F.lit(s)), F.lit(vocab.DEFAULT_WEIGHTS[s])) for s in vocab.SIGNALS]))
     return fresh_state(profiles).join(old, "profile_id", "left").select(
@@ -51,10 +59,21 @@ def resumed_state(profiles: DataFrame, saved: DataFrame) -> DataFrame:
         F.coalesce(weights, F.col("weights")).alias("weights"),
         F.when(F.size("_b") == N, F.col("_b")).otherwise(F.col("baseline")).alias("baseline"),
         F.coalesce("_n", "n_seen").alias("n_seen"),
-        F.coalesce("_lr", "lr").alias("lr"))
+        F.coalesce("_lr", "lr").alias("lr"),
+        F.coalesce("_e", "epsilon").alias("epsilon"))
+
+
+def _step(w: np.ndarray, b: np.ndarray, x: np.ndarray, r: np.ndarray, lr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One event of each of many profiles, a row each."""
+    moved = np.maximum(0.0, w + lr[:, None] * (r[:, None] * (x - b)))
+    total = np.zeros(len(w))
+    for n in range(N):  # in signal order, so that a profile's sum does not depend on who is stepped beside it
+        total += moved[:, n]
+    keep = vocab.BASELINE_KEEP
+    return moved / np.where(total == 0, 1.0, total)[:, None], keep * b + (1 - keep) * x
 
 
-def _step(w: list[float], b: list[float], x: list[float], r: float, lr: float) -> tuple[list[float], list[float]]:
+def _step_one(w: list[float], b: list[float], x: list[float], r: float, lr: float) -> tuple[list[float], list[float]]:
     moved = [max(0.0, wi + lr * (r * (xi - bi))) for wi, bi, xi in zip(w, b, x)]
     total = 0.0
     for value in moved:
@@ -63,42 +82,103 @@ def _step(w: list[float], b: list[float], x: list[float], r: float, lr: float) -
     return [value / (total or 1.0) for value in moved], [keep * bi + (1 - keep) * xi for bi, xi in zip(b, x)]
 
 
-def _fold(every_step: bool):
-    def frame(rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=["profile_id", "weights", "baseline", "n_seen", "lr", "seq"])
+def _lists(column: pa.Array, rows: np.ndarray) -> np.ndarray:
+    """Rows of an array column as a matrix; nulls stand for zeros."""
+    return pa.concat_arrays([column.take(pa.array(rows))]).flatten().to_numpy(zero_copy_only=False).reshape(len(rows), N)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, state = None, None
+
+def _frame(ids, w, b, n, lr, eps, seq) -> pa.RecordBatch:
+    offsets = pa.array(np.arange(0, N * len(ids) + 1, N, dtype=np.int32))
+    lists = lambda m: pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(m).ravel()))
+    return pa.RecordBatch.from_pydict({"profile_id": ids, "weights": lists(w), "baseline": lists(b), "n_seen": n, "lr": lr, "epsilon": eps, "seq": seq})
+
+
+def _fold(every_step: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # (id, weights, baseline, n_seen, lr, epsilon, seq, stepped) of the profile that may go on
         for batch in batches:
-            done = []
-            for row in batch.itertuples(index=False):
-                if row.profile_id != current:
-                    if state is not None and not every_step:
-                        done.append(state)
-                    current = row.profile_id
-                    w, b, n = list(row.weights), list(row.baseline), row.n_seen
-                w, b = _step(w, b, list(row.x), row.reward, row.lr)
-                n += 1
-                state = (current, w, b, n, row.lr, row.seq)
+            if not batch.num_rows:
+                continue
+            ids, is_state = batch.column("profile_id").to_numpy(), batch.column("weights").is_valid().to_numpy(zero_copy_only=False)
+            numbers = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("seq", "reward", "n_seen", "lr", "epsilon")}
+            first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+            goes_on = held is not None and held[0] == ids[0] and not is_state[0]
+            if held is not None and not goes_on and held[7] and not every_step:
+                yield _one(held)
+            known = is_state[first]
+            known[0] |= goes_on
+            start = first + is_state[first]
+            count = np.where(known, np.r_[first[1:], len(ids)] - start, 0)
+            w, b, n, lr, eps = np.zeros((len(first), N)), np.zeros((len(first), N)), np.zeros(len(first), np.int64), np.zeros(len(first)), np.zeros(len(first))
+            own = np.flatnonzero(is_state[first])
+            w[own], b[own] = _lists(batch.column("weights"), first[own]), _lists(batch.column("baseline"), first[own])
+            n[own], lr[own], eps[own] = (numbers[c][first[own]] for c in ("n_seen", "lr", "epsilon"))
+            if goes_on:
+                w[0], b[0], n[0], lr[0], eps[0] = held[1:6]
+            events = np.flatnonzero(~is_state)
+            x = np.zeros((len(ids), N))
+            x[events] = _lists(batch.column("x"), events)
+            r = numbers["reward"]
+            steps = np.zeros((len(ids), 2, N)) if every_step else None
+            by_count = np.argsort(-count, kind="stable")
+            left, t = int((count > 0).sum()), 0
+            while left >= FEW:
+                now = by_count[:left]
+                row = start[now] + t
+                w[now], b[now] = _step(w[now], b[now], x[row], r[row], lr[now])
                 if every_step:
-                    done.append(state)
-            if done:
-                yield frame(done)
-        if state is not None and not every_step:
-            yield frame([state])
+                    steps[row, 0], steps[row, 1] = w[now], b[now]
+                t += 1
+                left = int(np.searchsorted(-count[by_count], -t))
+            for p in by_count[:left]:
+                wp, bp = w[p].tolist(), b[p].tolist()
+                for row in range(start[p] + t, start[p] + count[p]):
+                    wp, bp = _step_one(wp, bp, x[row].tolist(), float(r[row]), float(lr[p]))
+                    if every_step:
+                        steps[row, 0], steps[row, 1] = wp, bp
+                w[p], b[p] = wp, bp
+            if every_step:
+                of = np.repeat(np.arange(len(first)), count)
+                row = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(start, count)
+                if len(row):
+                    yield _frame(ids[row], steps[row, 0], steps[row, 1], n[of] + (row - start[of]) + 1, lr[of], eps[of], numbers["seq"][row].astype(np.int64))
+            n += count
+            last = len(first) - 1
+            stepped = count > 0
+            seq = numbers["seq"][np.maximum(start + count - 1, 0)]
+            if goes_on and not stepped[0]:
+                seq[0] = held[6]
+            was = goes_on and held[7]
+            done = np.flatnonzero(stepped[:last])
+            if was and last > 0 and not stepped[0]:
+                done = np.r_[0, done]
+            if len(done) and not every_step:
+                yield _frame(ids[first[done]], w[done], b[done], n[done], lr[done], eps[done], seq[done].astype(np.int64))
+            held = (ids[-1], w[last], b[last], n[last], lr[last], eps[last], seq[last], bool(stepped[last] or (was and last == 0))) if known[last] else None
+        if held is not None and held[7] and not every_step:
+            yield _one(held)
 
     return run
 
 
+def _one(state: tuple) -> pa.RecordBatch:
+    ids, w, b, n, lr, eps, seq, _ = state
+    return _frame(pa.array([ids], pa.int64()), w[None], b[None], np.array([n], np.int64), np.array([lr]), np.array([eps]), np.array([int(seq)], np.int64))
+
+
 def learner_fold(events: DataFrame, state: DataFrame, every_step: bool = False) -> DataFrame:
     """State after the last event of each profile, or after every event.
 
-    ``events``: profile_id, seq, x (array of signals), reward. Profiles without events are absent.
+    ``events``: profile_id, seq, x (array of signals), reward. Profiles without events are absent, so are
+    events of profiles without a state and events without a value. States travel once, as a first row before the events of their profile.
     """
-    ready = events.join(state, "profile_id").select(
-        "profile_id", "seq", "x", "reward", "weights", "baseline", "n_seen", "lr")
-    ready = ready.repartition("profile_id").sortWithinPartitions("profile_id", "seq")
-    return ready.mapInPandas(_fold(every_step), STATE_SCHEMA + ", seq bigint")
+    nothing = lambda t, c: F.lit(None).cast(t).alias(c)
+    moves = events.select("profile_id", "seq", "x", F.col("reward").cast("double").alias("reward"), nothing("array<double>", "weights"),
+                          nothing("array<double>", "baseline"), nothing("bigint", "n_seen"), nothing("double", "lr"), nothing("double", "epsilon"))
+    starts = state.select("profile_id", nothing("bigint", "seq"), nothing("array<double>", "x"), nothing("double", "reward"), *STATE[1:])
+    ready = moves.filter("profile_id IS NOT NULL AND seq IS NOT NULL AND x IS NOT NULL AND reward IS NOT NULL").unionByName(starts.filter("profile_id IS NOT NULL"))
+    ready = ready.repartition("profile_id").sortWithinPartitions("profile_id", F.col("weights").isNull(), "seq")
+    return ready.mapInArrow(_fold(every_step), STATE_SCHEMA + ", seq bigint")
 
 
 def weights_map(weights: Column) -> Column:

@@ -762,8 +762,8 @@ def stream_ingest(i: Inputs) -> DataFrame:
     base = shared_dir(i.spark, "stream")
     landing.land_rows(canonical(i), base + "/in", 4)
     stream = runs.read_landed(i.spark, base + "/in", canonical(i).schema, max_files=2)
-    sink = ingest.FirstArrivals(i.spark, base + "/out", "job_id", "seq")
-    runs.run_batches(stream, sink, base + "/checkpoint")
+    sink = ingest.Corrections(i.spark, base + "/out", "job_id", "seq")
+    runs.run_batches(ingest.first_arrivals(stream, "job_id", "seq"), sink, base + "/checkpoint", "update")
     return sink.kept().select("job_id", "seq", "title", "company", "url")
 
 
@@ -825,6 +825,7 @@ def learner_stream(i: Inputs) -> DataFrame:
     events = feedback_events(i).select("profile_id", "seq", "x", "reward")
     for part in (events.filter(F.col("seq") <= early(i)), events.filter(F.col("seq") > early(i))):
         landing.land_rows(part, base + "/in", 2, "append")
-    sink = learner.LearnerSink(i.spark, base + "/states", learning.fresh_state(i.profiles))
-    runs.run_batches(runs.read_landed(i.spark, base + "/in", events.schema, max_files=2), sink, base + "/checkpoint")
-    return sink.state_before().filter("n_seen > 0").select("profile_id", "n_seen", *_weight_columns())
+    sink = learner.StateTable(i.spark, base + "/states")
+    stream = runs.read_landed(i.spark, base + "/in", events.schema, max_files=2)
+    runs.run_batches(learner.learner_states(stream, learning.fresh_state(i.profiles)), sink, base + "/checkpoint", "update")
+    return sink.states().select("profile_id", "n_seen", *_weight_columns())

@@ -8,11 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rolefit.operators.dedup import bloom_bitmap, bloom_membership, bloom_verdict, first_per_key
-from rolefit.streaming.runs import newest_batch, table_or_none
+from rolefit.streaming.runs import newest_batch
 
 SALTS = 16
-#: Keys of a batch that are sent to every task.
-FEW_KEYS = 200_000
 
 
 def drop_repeats(stream: DataFrame, key: str = "job_id", salts: int = SALTS, watermark: tuple[str, str] | None = None) -> DataFrame:
@@ -31,28 +29,31 @@ def drop_repeats(stream: DataFrame, key: str = "job_id", salts: int = SALTS, wat
     return salted.dropDuplicates([key, "_salt"]).drop("_salt").dropDuplicates([key])
 
 
-class FirstArrivals:
-    """Keeps the first row of each key, by ``order``, batch by batch.
+def first_arrivals(stream: DataFrame, key: str, order: str) -> DataFrame:
+    """The least row of each key by ``order``, whichever batch brings it; run in update mode.
 
-    Within a batch the least row per key is taken, then keys of earlier batches are left out. Kept rows
-    are stored under the batch's id, so a repeated batch replaces its output.
+    The state store holds one row per key and nothing else is read again, so a batch costs what it brings. Tasks keep
+    their least row per key before anything moves, which makes one row per task of a hot key. A row comes out when it is the
+    first of its key, and again, as a correction, when an earlier one arrives late; repeats change nothing and give no row.
     """
+    timed = stream.withColumn("_brought", F.current_timestamp())  # one value per batch
+    row = F.struct(*timed.columns)
+    least = timed.groupBy(F.col(key).alias("_key")).agg(F.min_by(row, F.col(order)).alias("_row"), F.max("_brought").alias("_now"))
+    return least.filter("_row._brought = _now").select(*[F.col(f"_row.{c}").alias(c) for c in stream.columns])
+
+
+class Corrections:
+    """Stores the rows of ``first_arrivals`` under their batch's id; a repeated batch replaces its output. Nothing stored is read."""
 
     def __init__(self, spark: SparkSession, path: str, key: str, order: str):
         self.spark, self.path, self.key, self.order = spark, path, key, order
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        fresh, seen = first_per_key(batch, self.key, self.order), table_or_none(self.spark, self.path)
-        if seen is not None:
-            keys = batch.select(self.key).distinct()
-            if keys.count() <= FEW_KEYS:  # of one batch: the stored keys are read where they lie, not shuffled
-                keys = F.broadcast(keys)
-            known = seen.filter(F.col("batch") < batch_id).select(self.key).join(keys, self.key, "left_semi")
-            fresh = fresh.join(known, self.key, "left_anti")
-        fresh.select(batch.columns).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
 
     def kept(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        """One row per key: the last correction is the least row."""
+        return first_per_key(self.spark.read.parquet(self.path).drop("batch"), self.key, self.order)
 
 
 class BloomSink:

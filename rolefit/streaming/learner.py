@@ -2,31 +2,49 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from rolefit.operators.learning import STATE, STATE_SCHEMA, _step_one, latest_per_profile
 
-from rolefit.operators.learning import learner_fold
-from rolefit.streaming.runs import newest_batch
 
-STATE = ["profile_id", "weights", "baseline", "n_seen", "lr"]
+def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """One profile's events of a batch, in order, on top of its kept state."""
+    events = pd.concat(list(frames)).sort_values("seq", kind="stable")
+    kept = state.get if state.exists else events.iloc[0][STATE[1:]].tolist()
+    w, b, n, lr, epsilon = list(map(float, kept[0])), list(map(float, kept[1])), int(kept[2]), float(kept[3]), float(kept[4])
+    for x, reward in zip(events["x"], events["reward"], strict=True):
+        w, b = _step_one(w, b, list(map(float, x)), float(reward), lr)
+    n += len(events)
+    state.update((w, b, n, lr, epsilon))
+    yield pd.DataFrame({"profile_id": [key[0]], "weights": [w], "baseline": [b], "n_seen": [n], "lr": [lr], "epsilon": [epsilon]})
 
 
-class LearnerSink:
-    """Folds each batch of events into the saved state of its profiles.
+def learner_states(events: DataFrame, fresh: DataFrame) -> DataFrame:
+    """State of every profile that a batch touches, after that batch; run in update mode.
 
-    A batch starts from what the batch before it wrote and writes the state of every profile under its
-    own id, so it reads one state per profile however many batches came before, and repeating it
-    gives the same result. Events of one profile must arrive in order.
+    States live in the state store, one per profile that ever gave feedback; ``fresh`` is where the others start.
+    A batch reads and writes the states of its own profiles, whatever their number in all. Events of one
+    profile must arrive in order of batches; within a batch they are put in order. Events without a value are left out.
     """
+    ready = events.filter("seq IS NOT NULL AND x IS NOT NULL AND reward IS NOT NULL").select("profile_id", "seq", "x", "reward")
+    kept = STATE_SCHEMA.split(", ", 1)[1]
+    return ready.join(fresh.select(STATE), "profile_id").groupBy("profile_id").applyInPandasWithState(
+        _advance, STATE_SCHEMA, kept, "update", GroupStateTimeout.NoTimeout)
 
-    def __init__(self, spark: SparkSession, path: str, fresh: DataFrame):
-        self.spark, self.path, self.fresh = spark, path, fresh
 
-    def state_before(self, batch_id: int | None = None) -> DataFrame:
-        saved = newest_batch(self.spark, self.path, batch_id)
-        return self.fresh.select(STATE) if saved is None else saved.select(STATE)
+class StateTable:
+    """Stores the states that a batch changed under its id; a repeated batch replaces them."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        before = self.state_before(batch_id)
-        moved = learner_fold(batch, before).select(STATE)
-        states = moved.unionByName(before.join(batch.select("profile_id").distinct(), "profile_id", "left_anti").select(STATE))
-        states.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+    def states(self) -> DataFrame:
+        """The newest state of each profile that gave feedback."""
+        return latest_per_profile(self.spark.read.parquet(self.path).drop("batch")).select(STATE)

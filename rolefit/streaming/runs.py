@@ -27,11 +27,11 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     return query
 
 
-def run_batches(stream: DataFrame, handle, checkpoint: str) -> StreamingQuery:
+def run_batches(stream: DataFrame, handle, checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Hand each batch with its id to ``handle``; a repeated id must overwrite its earlier output."""
     query = (
         stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .outputMode(mode).trigger(availableNow=True).start()
     )
     query.awaitTermination()
     return query

@@ -108,7 +108,7 @@ def test_learner_fold(spark):
 
 
 def test_weights_clipped_to_zero_stay_zero(spark):
-    state = spark.createDataFrame([(1, [0.0] * 8, [0.5] * 8, 0, 0.15)], learning.STATE_SCHEMA)
+    state = spark.createDataFrame([(1, [0.0] * 8, [0.5] * 8, 0, 0.15, 0.2)], learning.STATE_SCHEMA)
     events = spark.createDataFrame([(1, 0, [0.5] * 8, 1.0)], "profile_id bigint, seq bigint, x array<double>, reward double")
     row = learning.learner_fold(events, state).first()
     assert row["weights"] == [0.0] * 8 and row["n_seen"] == 1
@@ -119,7 +119,33 @@ def test_resumed_state_repairs_old_states(spark):
     saved = spark.createDataFrame([(1, {"skills": 0.9}, [0.1], 5, 0.2)], "profile_id bigint, weights map<string,double>, baseline array<double>, n_seen bigint, lr double")
     rows = {r["profile_id"]: r for r in learning.resumed_state(profiles, saved).collect()}
     assert rows[1]["weights"][1] == 0.9 and rows[1]["weights"][0] == 0.38 and rows[1]["baseline"] == [0.5] * 8 and rows[1]["n_seen"] == 5
-    assert rows[2]["n_seen"] == 0
+    assert rows[2]["n_seen"] == 0 and [rows[p]["epsilon"] for p in (1, 2)] == [0.2, 0.2]
+    again = learning.resumed_state(profiles, saved.withColumn("epsilon", F.lit(0.05))).collect()
+    assert {r["profile_id"]: r["epsilon"] for r in again} == {1: 0.05, 2: 0.2}
+
+
+@pytest.mark.parametrize("batch", [1, 7, 10_000])
+def test_many_profiles_are_stepped_together(spark, batch):
+    """Profiles that end, begin and go on across Arrow batches; one without a state, one without events, values that are missing."""
+    rng = np.random.default_rng(6)
+    start = [vocab.DEFAULT_WEIGHTS[s] for s in vocab.SIGNALS]
+    rows, expected = [], {}
+    for profile in range(1, 60):
+        events = [([float(v) for v in rng.random(8)], float(rng.choice([1, -1, -0.2, 0]))) for _ in range(rng.integers(0, 12))]
+        expected[profile] = [learn_in_python(start, events[:n + 1]) for n in range(len(events))]
+        rows += [(profile, 10 * i, x, r) for i, (x, r) in enumerate(events)]
+    odd = [(99, 1, [0.5] * 8, 1.0), (None, 1, [0.5] * 8, 1.0), (3, None, [0.5] * 8, 1.0), (3, 1, None, 1.0), (3, 1, [0.5] * 8, None)]
+    events = spark.createDataFrame(rows + odd, "profile_id bigint, seq bigint, x array<double>, reward double").repartition(5)
+    state = learning.fresh_state(spark.createDataFrame([(p, None) for p in expected], "profile_id bigint, base_weights map<string,double>"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        last = {r["profile_id"]: r for r in learning.learner_fold(events, state).collect()}
+        steps = learning.learner_fold(events, state, every_step=True).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {p: (r["n_seen"], r["seq"]) for p, r in last.items()} == {p: (len(s), 10 * len(s) - 10) for p, s in expected.items() if s}
+    assert all(last[p]["weights"] == pytest.approx(s[-1], abs=1e-12) for p, s in expected.items() if s)
+    assert len(steps) == len(rows) and all(r["weights"] == pytest.approx(expected[r["profile_id"]][r["n_seen"] - 1], abs=1e-12) for r in steps)
 
 
 def test_epsilon_zero_is_the_top_list(spark):

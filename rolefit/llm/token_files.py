@@ -8,13 +8,14 @@ file with a row per document. Shards hold ranges of doc_id in ascending order.
 
 from __future__ import annotations
 
-import re
+import itertools
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -27,7 +28,7 @@ from rolefit.session import shared_dir
 #: Sequences of a record batch.
 ROWS = 512
 #: Chunks of text, and parts of chunks, whose ids a worker keeps before it starts anew; texts encoded at a time.
-KEPT, TEXTS = 500_000, 64
+KEPT, TEXTS = 500_000, 4096
 DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 MANIFEST = "shard int, data string, docs string, n_docs long, n_tokens long"
 
@@ -40,11 +41,12 @@ class ChunkEncoder:
     """Ids of whole texts from a tokenizer that drops white space and never joins what stands around it.
 
     The ids of a text are those of its chunks between white space, in order, and a chunk of letters and closing ASCII
-    marks is put together from the ids of both. Chunks and parts are kept with their ids. Parts not met before go
-    through the tokenizer many at a time, blanks between them: each ends with its first token that ends a word.
+    marks is put together from the ids of both. Texts are split and their chunks numbered by Arrow; Python sees each
+    different chunk of a batch once, and the ids of all its occurrences are gathered from one array of the kept ones. Parts not met
+    before go through the tokenizer many at a time, blanks between them: each ends with its first token that ends a word.
     """
 
-    SIMPLE = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
+    MARKS = "!\"#$%&(*+,-./:;<=>?@[\\]^_`{|}~"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -52,11 +54,17 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        self.ends = np.zeros(self.vocabulary, bool)
+        self.last = np.zeros(self.vocabulary, bool)  # whether a token ends a word
         if suffix:
-            self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
-        self.chunks: dict[str, bytes] = {}
+            self.last[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
         self.parts: dict[str, bytes] = {"": b""}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Chunk: its place; ids of the chunks one after another, and where each ends, after a first 0."""
+        self.place: dict[str, int] = {}
+        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
+        self.ends = np.zeros(1 << 16, np.int32)
 
     @property
     def vocabulary(self) -> int:
@@ -67,7 +75,7 @@ class ChunkEncoder:
 
     def _learn_parts(self, parts: list[str]) -> None:
         ids = np.frombuffer(self._ids([" ".join(parts)])[0], "<u4")
-        cuts = np.flatnonzero(self.ends[ids]) + 1
+        cuts = np.flatnonzero(self.last[ids]) + 1
         if len(cuts) != len(parts) or cuts[-1] != len(ids):  # a part of several words
             self.parts.update(zip(parts, self._ids(parts), strict=True))
             return
@@ -77,35 +85,67 @@ class ChunkEncoder:
             at = cut
 
     def _learn(self, chunks: list[str]) -> None:
-        simple, other = [], []
+        if len(self.parts) >= KEPT:
+            self.parts = {"": b""}
+        cores, marks = [], []
         for chunk in chunks:
-            found = self.SIMPLE.fullmatch(chunk)
-            if found:
-                core = found[1]
-                simple.append((chunk, core.lower() if core.isascii() else core, found[2]))
-            else:
-                other.append(chunk)
+            core = chunk.rstrip(self.MARKS)
+            simple = core.isalpha()
+            marks.append(chunk[len(core):] if simple else "")
+            cores.append((core.lower() if core.isascii() else core) if simple else None)
         parts = self.parts
-        new = list({p for _, core, marks in simple for p in (core, marks) if p not in parts})
+        new = list({p for p in (*cores, *marks) if p is not None and p not in parts})
         for at in range(0, len(new), 1024):
             self._learn_parts(new[at:at + 1024])
-        self.chunks.update((chunk, parts[core] + parts[marks]) for chunk, core, marks in simple)
-        self.chunks.update(zip(other, self._ids(other), strict=True))
+        other = iter(self._ids([chunk for chunk, core in zip(chunks, cores, strict=True) if core is None]))
+        found = [next(other) if core is None else parts[core] + parts[mark] for core, mark in zip(cores, marks, strict=True)]
+        first, n = len(self.place), len(chunks)
+        self.place.update(zip(chunks, range(first, first + n), strict=True))
+        ends = self.used + np.cumsum(np.fromiter(map(len, found), np.int64, n) // 4)
+        for name, at, more in (("flat", self.used, np.frombuffer(b"".join(found), "<u4")), ("ends", first + 1, ends)):
+            held = getattr(self, name)
+            if at + len(more) > len(held):
+                held = np.concatenate([held[:at], np.empty(max(len(held), len(more)), held.dtype)])
+                setattr(self, name, held)
+            held[at:at + len(more)] = more
+        self.used = int(ends[-1])
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and how many each has. Texts must not be null."""
+        # Special tokens may hold the words around them together; four separators are white space to Arrow alone.
+        odd = pc.match_substring_regex(texts, "[\\x1c-\\x1f]")
+        for token in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, token))
+        strange = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        split = pc.utf8_split_whitespace(texts if not len(strange) else pc.if_else(odd, "", texts))
+        bounds = split.offsets.to_numpy()
+        chunks = split.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
+        names, bounds = chunks.dictionary.to_pylist(), bounds - bounds[0]
+        if len(self.place) >= KEPT:
+            self._forget()
+        n = len(self.place)
+        known = list(map(self.place.get, names))
+        if None in known:
+            self._learn([name for name, at in zip(names, known, strict=True) if at is None])
+            fresh = itertools.count(n)  # new chunks get their places in turn
+            known = [next(fresh) if at is None else at for at in known]
+        place, n = np.array(known, np.int32)[chunks.indices.to_numpy()], len(self.place)
+        taken = pa.ListArray.from_arrays(pa.array(self.ends[:n + 1]), pa.array(self.flat[:self.used])).take(pa.array(place))
+        ids, ends = taken.flatten().to_numpy(), taken.offsets.to_numpy()
+        counts = np.diff(ends[bounds]).astype(np.int64)
+        if len(strange):
+            pieces = np.split(ids, ends[bounds][1:-1])
+            for i in strange:
+                pieces[i] = np.frombuffer(self._ids([texts[int(i)].as_py()])[0], "<u4")
+            ids, counts = np.concatenate(pieces), np.fromiter(map(len, pieces), np.int64, len(pieces))
+        return ids, counts
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text. A few dozen texts at a time keep what is held beside the kept chunks small."""
-        # Special tokens may hold the words around them together; four separators are white space to Python alone.
-        odd = [any(x in t for x in self.special) or any(x in t for x in "\x1c\x1d\x1e\x1f") for t in texts]
-        split = [[] if o else t.split() for t, o in zip(texts, odd, strict=True)]
-        if len(self.chunks) >= KEPT:
-            self.chunks.clear()
-        if len(self.parts) >= KEPT:
-            self.parts = {"": b""}
-        new = set().union(*split).difference(self.chunks)
-        if new:
-            self._learn(list(new))
-        known = self.chunks.__getitem__
-        return [np.frombuffer(self._ids([t])[0] if o else b"".join(map(known, s)), "<u4") for t, o, s in zip(texts, odd, split, strict=True)]
+        """Ids of each text."""
+        if not texts:
+            return []
+        ids, counts = self.encode_array(pa.array(texts, pa.string()))
+        return np.split(ids, np.cumsum(counts)[:-1])
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
@@ -168,13 +208,15 @@ def _write_shards(folder: str, tokenizer: str, length: int, end_id: int):
                 index, n_docs = pa.ipc.new_file(sink, DOCS), 0
             starts, sizes = [], []
             for at in range(0, len(batch), TEXTS):
-                for ids in encoder.encode(batch.column("text").slice(at, TEXTS).to_pylist()):
-                    starts.append(writer.total)
-                    sizes.append(len(ids) + 1)
-                    writer.add(ids)
-                    writer.add(np.array([end_id], np.uint32))
+                ids, counts = encoder.encode_array(batch.column("text").slice(at, TEXTS))
+                ended = np.insert(ids, np.cumsum(counts), end_id)
+                ends = writer.total + np.cumsum(counts + 1)
+                starts.append(ends - counts - 1)
+                sizes.append(counts + 1)
+                writer.add(ended)
             n_docs += len(batch)
-            index.write_batch(pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], schema=DOCS))
+            if len(batch):
+                index.write_batch(pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(np.concatenate(starts)), pa.array(np.concatenate(sizes))], schema=DOCS))
         if writer is not None:
             writer.close()
             index.close()

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from rolefit import vocab
 from rolefit.functions import features, formats, text
 from rolefit.operators import (
-    analytics, ats, dedup, documents, evaluate, explain, learning, lexical, normalize, ranking, retrieval, sampling, scoring,
+    analytics, ann, ats, dedup, documents, evaluate, explain, learning, lexical, normalize, ranking, retrieval, sampling, scoring,
 )
 from rolefit.plans import landing
 from rolefit.plans.inputs import Inputs
@@ -448,6 +448,28 @@ def cosine_knn(i: Inputs) -> DataFrame:
     return retrieval.topk(vectors, vectors, 10, spread=i.spread)
 
 
+def _embedded(i: Inputs) -> DataFrame:
+    return i.table("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+
+
+@query
+def ann_knn(i: Inputs) -> DataFrame:
+    """What cosine_knn asks, from probed lists alone."""
+    vectors = _embedded(i)
+    return ann.ann_topk(vectors, vectors, 10)
+
+
+@query
+def ann_recall(i: Inputs) -> DataFrame:
+    """One row: the share of the exact neighbours that ann_knn finds, the rows it scores and those of exact retrieval."""
+    vectors = _embedded(i)
+    fitted = ann.fit_lists(vectors, 10)
+    found = ann.ann_topk(vectors, vectors, 10, fitted)
+    work = ann.rows_scored(vectors, vectors, 10, fitted).select(F.struct("scored", "exact").alias("s")).scalar()
+    share = ann.recall(found, retrieval.topk(vectors, vectors, 10, spread=i.spread))
+    return share.select("recall", work["scored"].alias("scored"), work["exact"].alias("exact"), F.lit(fitted.probes).alias("probes"))
+
+
 @query
 def candidates(i: Inputs) -> DataFrame:
     return i.candidates

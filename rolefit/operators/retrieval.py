@@ -23,6 +23,8 @@ from pyspark.sql import types as T
 QUERY_LIMIT = 65_536      # queries broadcast at most: 100 MB at 384 float32 dimensions
 QUERIES_PER_PACK = 2_048
 DOCS_PER_PACK = 32_768
+SPARSE_DOCS = 8_192       # documents whose postings are searched together
+CHECK_TERMS, MARGIN = 8, 1e-8  # terms between two bounds; more than rounding and the order of sums can change
 HELD_ROWS = 20_000_000    # candidates a task holds before it passes them on
 CELLS_PER_SLICE = 4_000_000
 DIGITS = 9                # similarities are compared after rounding, so ties do not depend on summation order
@@ -41,7 +43,7 @@ def _pack(df: DataFrame, id_type: T.DataType, encode: Callable[[pa.RecordBatch],
         body = encode(part)
         return pa.RecordBatch.from_arrays(
             [pa.array([block], pa.int32()),
-             pa.array([part.column("id").to_pylist()], pa.list_(part.column("id").type)),
+             pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column("id")),
              pa.array([body.get("offsets")], pa.binary()),
              pa.array([body.get("terms")], pa.binary()),
              pa.array([body["data"]], pa.binary()),
@@ -74,10 +76,9 @@ def _encode_dense(batch: pa.RecordBatch) -> dict:
 
 def _encode_sparse(batch: pa.RecordBatch) -> dict:
     column = batch.column("vec")
-    lengths = np.array([len(x) for x in column.to_pylist()], dtype="int64")
-    flat = column.flatten()
+    offsets, flat = column.offsets.to_numpy(), column.flatten()
     return {
-        "offsets": np.concatenate([[0], np.cumsum(lengths)]).astype("int64").tobytes(),
+        "offsets": (offsets - offsets[0]).astype("int64").tobytes(),
         "terms": flat.field("term_id").to_numpy(zero_copy_only=False).astype("int32").tobytes(),
         "data": flat.field("weight").to_numpy(zero_copy_only=False).astype("float64").tobytes(),
         "dim": 0,
@@ -103,9 +104,13 @@ class _Dense:
         order = pc.sort_indices(ids).to_numpy()
         return cls(ids.take(pa.array(order)), np.concatenate([p.matrix for p in parts])[order])
 
-    def scores(self, docs: _Dense) -> Callable[[int, int], np.ndarray]:
-        flipped = docs.matrix.T
-        return lambda lo, hi: self.matrix[lo:hi] @ flipped
+    def search(self, docs: _Dense, floor: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Rows, columns and similarities of each query's k best documents that reach its floor."""
+        step = max(1, CELLS_PER_SLICE // len(docs.ids))
+        for lo in range(0, len(self.ids), step):
+            cells = np.round(self.matrix[lo:lo + step] @ docs.matrix.T, DIGITS)
+            rows, cols = _best(cells, floor[lo:lo + len(cells)], k)
+            yield rows + lo, cols, cells[rows, cols]
 
 
 class _Sparse:
@@ -133,15 +138,48 @@ class _Sparse:
         return cls(ids.take(pa.array(order)), place[owner], np.concatenate([p.terms for p in parts]),
                    np.concatenate([p.weights for p in parts]))
 
-    def scores(self, docs: _Sparse) -> Callable[[int, int], np.ndarray]:
-        """Scores over the terms the queries use; other document terms cannot contribute."""
-        used = np.unique(self.terms)
-        mine = np.zeros((len(self.ids), len(used)))
-        mine[self.owner, np.searchsorted(used, self.terms)] = self.weights
-        shared = np.isin(docs.terms, used)
-        theirs = np.zeros((len(used), len(docs.ids)))
-        theirs[np.searchsorted(used, docs.terms[shared]), docs.owner[shared]] = docs.weights[shared]
-        return lambda lo, hi: mine[lo:hi] @ theirs
+    def search(self, docs: _Sparse, floor: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Rows, columns and similarities of each query's k best documents that reach its floor.
+
+        Postings of the query's terms are added up, those that can add most first. The k-th best sum so far is a
+        bound for the result; once what is left cannot lift a document to it that holds none of the terms so far, only
+        documents that can still reach it are looked up in the postings of the other terms.
+        """
+        by_term = np.lexsort((docs.owner, docs.terms))
+        terms, start = np.unique(docs.terms[by_term], return_index=True)
+        end, owner, weights = np.r_[start[1:], len(by_term)], docs.owner[by_term], docs.weights[by_term]
+        most = np.maximum.reduceat(weights, start) if len(terms) else np.empty(0)
+        prune = not (len(weights) and weights.min() < 0) and not (len(self.weights) and self.weights.min() < 0)
+        n, by_query = len(docs.ids), np.argsort(self.owner, kind="stable")
+        cuts = np.searchsorted(self.owner[by_query], np.arange(len(self.ids) + 1))
+        for row in range(len(self.ids)):
+            mine = by_query[cuts[row]:cuts[row + 1]]
+            at = np.searchsorted(terms, self.terms[mine])
+            known = at < len(terms)
+            known[known] = terms[at[known]] == self.terms[mine][known]
+            at, weight = at[known], self.weights[mine][known]
+            order = np.argsort(-(weight * most[at]), kind="stable")
+            at, weight = at[order], weight[order]
+            rest = np.r_[np.cumsum((weight * most[at])[::-1])[::-1], 0.0]  # what term i and later can add at most
+            sums, reach, done = np.zeros(n), floor[row], 0
+            for done in range(len(at) + 1):
+                if prune and done and done % CHECK_TERMS == 0 and n > k:
+                    reach = max(reach, np.partition(sums, n - k)[n - k])
+                if done == len(at) or (prune and rest[done] < reach - MARGIN):
+                    break
+                part = slice(start[at[done]], end[at[done]])
+                sums[owner[part]] += weight[done] * weights[part]
+            cols = np.flatnonzero(sums >= reach - rest[done] - MARGIN) if np.isfinite(reach) else np.arange(n)
+            score = sums[cols]
+            for i in range(done, len(at)):
+                part = slice(start[at[i]], end[at[i]])
+                place = np.minimum(np.searchsorted(owner[part], cols), end[at[i]] - start[at[i]] - 1)
+                score = score + np.where(owner[part][place] == cols, weight[i] * weights[part][place], 0.0)
+                alive = score >= reach - rest[i + 1] - MARGIN
+                cols, score = cols[alive], score[alive]
+            score = np.round(score, DIGITS)
+            _, kept = _best(score[None], floor[row:row + 1], k)
+            yield np.full(len(kept), row), cols[kept], score[kept]
 
 
 def _best(scores: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -174,7 +212,7 @@ class _Running:
 
     def add(self, docs: _Dense | _Sparse) -> None:
         self.waiting.append(docs)
-        if sum(len(d.ids) for d in self.waiting) >= DOCS_PER_PACK:
+        if sum(len(d.ids) for d in self.waiting) >= (DOCS_PER_PACK if isinstance(docs, _Dense) else SPARSE_DOCS):
             self.flush()
 
     def flush(self) -> None:
@@ -182,13 +220,9 @@ class _Running:
             return
         docs = type(self.queries).merge(self.waiting)
         self.waiting = []
-        score = self.queries.scores(docs)
-        step = max(1, CELLS_PER_SLICE // len(docs.ids))
-        for lo in range(0, len(self.query_ids), step):
-            cells = np.round(score(lo, lo + step), DIGITS)
-            rows, cols = _best(cells, self.floor[lo:lo + len(cells)], self.k)
-            self.held.append(pa.table({"row": rows + lo, "doc_id": docs.ids.take(pa.array(cols)), "similarity": cells[rows, cols]}))
-            self.size += len(rows)
+        rows, cols, values = (np.concatenate(x) for x in zip(*self.queries.search(docs, self.floor, self.k), strict=True))
+        self.held.append(pa.table({"row": rows, "doc_id": docs.ids.take(pa.array(cols)), "similarity": values}))
+        self.size += len(rows)
         if self.size > 2 * self.k * len(self.query_ids):
             self.compact()
 

@@ -431,6 +431,14 @@ def embed_texts(i: Inputs) -> DataFrame:
     return lexical.hashed_weights(texts).select(F.col("id").alias("job_id"), "bucket", F.round("weight", 6).alias("weight"))
 
 
+@query
+def encode_texts(i: Inputs) -> DataFrame:
+    """The same vectors through the encoder interface, by which any model takes its place."""
+    texts = i.postings.select(F.col("job_id").alias("id"), features.job_text(F.col("title"), F.col("skills"), F.col("description")).alias("text"))
+    dense = lexical.embed_texts(texts, lexical.HashingEncoder, kind="double")
+    return dense.select(F.col("id").alias("job_id"), F.posexplode("vec").alias("bucket", "raw")).filter("raw <> 0").select("job_id", "bucket", F.round("raw", 6).alias("weight"))
+
+
 @query
 def text_candidates(i: Inputs) -> DataFrame:
     """Nearest postings by the texts themselves: posting and profile texts, hashed vectors, cosine."""
@@ -479,7 +487,7 @@ def candidates(i: Inputs) -> DataFrame:
 def tfidf_weights(i: Inputs) -> DataFrame:
     texts, stops = posting_texts(i), lexical.stop_words()
     counts = lexical.term_counts(texts, stops)
-    out = lexical.tfidf_weights(texts, lexical.vocabulary(texts, counts), stops, counts)
+    out = lexical.tfidf_weights(counts, lexical.vocabulary(texts, counts))
     return out.select(F.col("id").alias("job_id"), "term", F.round("weight", 6).alias("weight"))
 
 

@@ -413,6 +413,9 @@ q("embed_texts", f"""
       sum(CASE WHEN CAST('0x' || substr(md5(w), 5, 1) AS BIGINT) < 8 THEN 1e0 ELSE -1e0 END) AS raw
      FROM (SELECT job_id, unnest({WORDS.format(x="title || '. ' || array_to_string(skills, ' ') || '. ' || substr(description, 1, 500)")}) AS w FROM postings)
      GROUP BY 1, 2) WHERE raw <> 0""", "postings")
+ORACLE["encode_texts"] = ORACLE["embed_texts"]
+
+
 def _hashed(key: str, text: str, source: str) -> str:
     return f"""
         SELECT {key}, bucket, CAST(CAST(raw / sqrt(sum(raw * raw) OVER (PARTITION BY {key})) AS FLOAT) AS DOUBLE) AS w FROM (

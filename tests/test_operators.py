@@ -2,8 +2,10 @@
 
 import hashlib
 import math
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -254,3 +256,62 @@ def test_pretty_skill_keeps_long_words(spark):
 
     word = "a" * 3000 + " b"
     assert spark.createDataFrame([(word,)], "s string").select(pretty_skill(F.col("s"))).first()[0] == "A" + "a" * 2999 + " B"
+
+
+def sparse_frame(spark, rows):
+    return spark.createDataFrame([(i, [(int(t), float(w)) for t, w in r]) for i, r in enumerate(rows)], "id bigint, vec array<struct<term_id:int,weight:double>>")
+
+
+@pytest.mark.parametrize("negative", [False, True])
+def test_sparse_search_prunes_without_loss(spark, monkeypatch, negative):
+    """Frequent light terms and rare heavy ones, ties, empty rows and unknown terms, over several packs."""
+    monkeypatch.setattr(retrieval, "SPARSE_DOCS", 150)
+    rng = np.random.default_rng(8)
+
+    def rows(n, top):
+        out = []
+        for _ in range(n):
+            t = np.unique(np.minimum(rng.geometric(0.05, rng.integers(0, 30)), top))
+            w = np.round(rng.random(len(t)) * np.sqrt(t), 2) - (0.5 if negative else 0.0)
+            out.append(list(zip(t, w)))
+        return out
+
+    docs, queries = rows(600, 90), rows(40, 100)
+    docs[10] = docs[20] = docs[30]
+    got = retrieval.topk(sparse_frame(spark, queries), sparse_frame(spark, docs).coalesce(1), 9, sparse=True).collect()
+    table = [dict(d) for d in docs]
+    for q, query in enumerate(queries):
+        scored = sorted((-round(sum(w * d.get(t, 0.0) for t, w in query), 9), i) for i, d in enumerate(table))[:9]
+        mine = sorted((r["rank"], r["doc_id"], r["similarity"]) for r in got if r["query_id"] == q)
+        assert [i for _, i, _ in mine] == [i for _, i in scored] and [s for _, _, s in mine] == pytest.approx([-s for s, _ in scored])
+
+
+def test_sparse_search_holds_no_dense_matrix():
+    """20,000 terms by 8,192 documents: 1.3 GB as a matrix."""
+    rng = np.random.default_rng(9)
+    owner = np.repeat(np.arange(8192), 60)
+    docs = retrieval._Sparse(pa.array(range(8192)), owner, rng.integers(0, 20_000, len(owner)).astype("int32"), rng.random(len(owner)))
+    mine = np.repeat(np.arange(200), 100)
+    queries = retrieval._Sparse(pa.array(range(200)), mine, rng.integers(0, 20_000, len(mine)).astype("int32"), rng.random(len(mine)))
+    tracemalloc.start()
+    found = sum(len(r) for r, _, _ in queries.search(docs, np.full(200, -np.inf), 10))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 2000 and peak < 64 << 20
+
+
+def test_no_text_is_shuffled(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    texts = i.table("documents").select(F.col("doc_id").alias("id"), "text")
+    counts = lexical.term_counts(texts, lexical.stop_words())
+    for frame in (lexical.hashed_weights(texts), lexical.hashed_vectors(texts), lexical.tfidf_vectors(counts, lexical.vocabulary(texts, counts).collect())):
+        assert "Exchange" not in plan_of(frame)
+    exchanged = [line for line in plan_of(lexical.vocabulary(texts, counts)).splitlines() if "Exchange" in line]
+    assert exchanged and not any("text" in line or "id#" in line for line in exchanged)
+
+
+def test_encoder_interface_gives_the_hashed_vectors(spark, sf_dir):
+    texts = Inputs(spark, sf_dir).table("documents").select(F.col("doc_id").alias("id"), "text")
+    dense = {r["id"]: r["vec"] for r in lexical.embed_texts(texts, lexical.HashingEncoder, kind="double").collect()}
+    cells = {(r["id"], r["bucket"]): r["weight"] for r in lexical.hashed_weights(texts).collect()}
+    assert {(i, n): v for i, vec in dense.items() for n, v in enumerate(vec) if v} == cells

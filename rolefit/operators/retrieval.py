@@ -152,8 +152,14 @@ class _Sparse:
         prune = not (len(weights) and weights.min() < 0) and not (len(self.weights) and self.weights.min() < 0)
         n, by_query = len(docs.ids), np.argsort(self.owner, kind="stable")
         cuts = np.searchsorted(self.owner[by_query], np.arange(len(self.ids) + 1))
+        searched: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}  # equal queries are searched once
         for row in range(len(self.ids)):
             mine = by_query[cuts[row]:cuts[row + 1]]
+            key = (self.terms[mine].tobytes(), self.weights[mine].tobytes(), float(floor[row]))
+            if key in searched:
+                cols, score = searched[key]
+                yield np.full(len(cols), row), cols, score
+                continue
             at = np.searchsorted(terms, self.terms[mine])
             known = at < len(terms)
             known[known] = terms[at[known]] == self.terms[mine][known]
@@ -179,6 +185,7 @@ class _Sparse:
                 cols, score = cols[alive], score[alive]
             score = np.round(score, DIGITS)
             _, kept = _best(score[None], floor[row:row + 1], k)
+            searched[key] = cols[kept], score[kept]
             yield np.full(len(kept), row), cols[kept], score[kept]
 
 

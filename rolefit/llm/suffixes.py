@@ -12,6 +12,7 @@ hashes, of the gram and of its surroundings: neighbours are tested for equal has
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,8 @@ from rolefit.llm.common import materialize, numbered, tasks, text_or_empty
 
 #: Bytes of a repeat, bytes of an anchor's leading tokens.
 LENGTH, GRAM = 400, 64
+#: Words of a passage that is reported as such where it repeats, however few bytes it has; bytes of a word's code.
+PASSAGE, CODE = 51, 4
 #: Window starts that are looked at together.
 BLOCK = 2**20 - 1024
 #: Different surroundings of one anchor that a task compares; more are compared by a shuffle of their windows.
@@ -85,6 +88,13 @@ def _text_bytes(text: pa.Scalar) -> bytes:
     return text.as_buffer().to_pybytes()
 
 
+def _word_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as the CODE-byte hashes of their words, one after another."""
+    for batch in batches:
+        coded = [struct.pack(f"<{len(w)}I", *map(xxhash.xxh32_intdigest, w)) for w in (_text_bytes(t).split() for t in batch.column("text"))]
+        yield pa.RecordBatch.from_pydict({"row_id": batch.column("row_id"), "text": pa.array(coded, pa.binary())})
+
+
 def _anchors(length: int, gram: int):
     digest = xxhash.xxh3_64_intdigest
 
@@ -217,9 +227,11 @@ def _list_windows(length: int):
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Digests of what is left of each text once the union of its ranges is removed."""
     for batch in batches:
-        n, removed, spans, digests = [], [], [], []
-        for text, ranges in zip(batch.column("text"), batch.column("ranges").to_pylist(), strict=True):
+        n, removed, spans, digests, words = [], [], [], [], []
+        for text, ranges, passages in zip(batch.column("text"), batch.column("ranges").to_pylist(), batch.column("passages").to_pylist(), strict=True):
             raw = _text_bytes(text)
+            whole = [b // CODE - -(-a // CODE) for a, b in merged(passages or [])]
+            words.append(sum(x for x in whole if x >= PASSAGE))
             runs = merged(ranges or [])
             kept, at = [], 0
             for a, b in runs:
@@ -229,7 +241,8 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n.append(len(raw)), removed.append(sum(b - a for a, b in runs)), spans.append(len(runs))
             digests.append(hashlib.sha256(b"".join(kept)).hexdigest())
         count = lambda x: pa.array(x, pa.int64())
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_bytes": count(n), "n_removed": count(removed), "n_spans": count(spans), "kept_sha256": pa.array(digests, pa.string())})
+        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_bytes": count(n), "n_removed": count(removed), "n_spans": count(spans), "kept_sha256": pa.array(digests, pa.string()),
+                                          "n_passage_words": count(words)})
 
 
 def merged(ranges: list[dict]) -> list[tuple[int, int]]:
@@ -274,13 +287,20 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, to
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, together: int = TOGETHER) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 per row of ``docs``.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_words per row of ``docs``.
 
     Every byte covered by a string of ``length`` bytes that also starts anywhere else is removed, in the first of equal
-    places as well. Null texts are empty; repeated rows are repeats of one another; texts shorter than ``length`` stay.
+    places as well. n_passage_words counts the words of passages of PASSAGE words or more that start anywhere else too; these are
+    found the same way, over texts of word hashes, and are removed only as far as they are long enough in bytes. Null texts are
+    empty; repeated rows are repeats of one another; texts shorter than ``length`` stay.
     """
     texts = numbered(docs.select("doc_id", "text"), "suffix-texts").select("row_id", "doc.doc_id", text_or_empty("doc.text").alias("text"))
-    ranges = repeated_ranges(texts.select("row_id", "text"), length, together=together)
-    by_text = materialize(ranges.groupBy("row_id").agg(F.collect_list(F.struct("from", "to")).alias("ranges")), "suffix-ranges")  # at most the anchors of one text
+    bytes_ = repeated_ranges(texts.select("row_id", "text"), length, together=together)
+    coded = texts.select("row_id", "text").mapInArrow(_word_codes, "row_id long, text binary")
+    words = repeated_ranges(coded, PASSAGE * CODE, GRAM // 2, together)
+    found = bytes_.select("row_id", F.struct("from", "to").alias("r"), F.lit(None).cast("struct<from:bigint,to:bigint>").alias("p")).unionByName(
+        words.select("row_id", F.lit(None).cast("struct<from:bigint,to:bigint>").alias("r"), F.struct("from", "to").alias("p")))
+    by_text = found.groupBy("row_id").agg(F.collect_list("r").alias("ranges"), F.collect_list("p").alias("passages"))  # at most the anchors of one text
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return texts.join(by_text, "row_id", "left").select("doc_id", "text", "ranges").mapInArrow(_cut_out, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return texts.join(materialize(by_text, "suffix-ranges"), "row_id", "left").select("doc_id", "text", "ranges", "passages").mapInArrow(
+        _cut_out, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage_words long")

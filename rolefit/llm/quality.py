@@ -133,18 +133,26 @@ def _sums(rows: DataFrame, width: int, of) -> np.ndarray:
     return np.array([r.v for r in sorted(out, key=lambda r: r.i)], float).reshape(-1, width)
 
 
-def fit(statistics_: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
-    """A model from ``statistics_`` (doc_id, x) and ``labels`` (doc_id, quality).
+def known_rows(labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """labelled, y, fold of the labels (doc_id, quality) that a model may learn from: at most about ``max_rows`` rows, to be broadcast.
 
-    Rows of fold 0 are never used; fold 1 calibrates, the others fit. Of more than ``max_rows`` labelled rows a
-    seeded sample of about that many is taken, a bound of the model alone. Labels without an id or a value are left
-    out. Without any usable label every score is near 0.5; with one class only, near that class.
+    Rows of fold 0 are left out. Of more than ``max_rows`` labelled rows a seeded sample of about that many is taken, a bound of the
+    model alone. Labels without an id or a value are left out.
     """
-    known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").alias("labelled"), F.col("quality").cast("double").alias("y"))
+    known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").cast("long").alias("labelled"), F.col("quality").cast("double").alias("y"))
     known = known.withColumn("fold", fold("labelled")).filter("fold <> 0")
     part = min(1.0, max_rows / max(1, known.count()))
-    known = known.filter(F.pmod(F.xxhash64(F.lit(29), "labelled"), F.lit(1_000_000)) < int(part * 1_000_000))
-    rows = materialize(statistics_.join(known, statistics_.doc_id == known.labelled).select("x", "y", "fold").coalesce(SUMMING_TASKS), "quality-rows")
+    return known.filter(F.pmod(F.xxhash64(F.lit(29), "labelled"), F.lit(1_000_000)) < int(part * 1_000_000))
+
+
+def fit(statistics_: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
+    """A model from ``statistics_`` (doc_id, x) and ``labels`` (doc_id, quality), see known_rows().
+
+    Fold 1 calibrates, the others fit. Without any usable label every score is near 0.5; with one class only, near that class.
+    """
+    known = known_rows(labels, max_rows)
+    rows = statistics_.join(F.broadcast(known), F.col("doc_id") == F.col("labelled")).select("x", "y", "fold")
+    rows = materialize(rows, "quality-rows").coalesce(SUMMING_TASKS)
     width = len(FEATURES)
     moments = _sums(rows.filter("fold <> 1"), width, lambda x, y: np.stack([np.full(width, len(x)), x.sum(axis=0), (x * x).sum(axis=0)]))
     if not len(moments):
@@ -201,7 +209,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """Rows of ``docs``, all columns, whose score reaches the threshold."""
-    model = fit(add_statistics(docs), labels)
+    ids = known_rows(labels).select(F.col("labelled").alias("__labelled")).distinct()
+    labelled = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("__labelled"), "left_semi")  # statistics of these alone are needed to fit
+    model = fit(add_statistics(labelled), labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -174,12 +174,9 @@ def export_csv_json(i: Inputs) -> DataFrame:
     ranked = i.shown.select("profile_id", "rank", *snapshot.EXPORT_COLUMNS, "source")
     snapshot.export_csv(ranked, path + "/csv")
     snapshot.export_json(ranked, path + "/json")
-    as_csv = i.spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path + "/csv")
-    as_json = i.spark.read.json(path + "/json")
-    both = as_csv.select(F.lit("csv").alias("format"), F.col("profile_id").cast("bigint"), F.col("score").cast("double"), "url").unionByName(
-        as_json.select(F.lit("json").alias("format"), "profile_id", "score", "url"))
-    return both.groupBy("format", "profile_id").agg(
-        F.count(F.lit(1)).alias("n"), F.max("score").alias("best"), F.min("url").alias("first_url"))
+    schema = snapshot.export_matches(ranked).schema
+    both = [snapshot.read_export(i.spark, f"{path}/{kind}", schema, kind).select(F.lit(kind).alias("format"), "*") for kind in ("csv", "json")]
+    return both[0].unionByName(both[1]).withColumn("description", F.md5("description"))
 
 
 @query

@@ -304,7 +304,8 @@ q("export_matches", f"""
     SELECT profile_id, rank, title, company, location, salary_min, salary_max, salary_value, score, {LINK} AS url, md5(substr(description, 1, 2000)) AS description
     FROM top10""", "top10")
 q("export_csv_json", f"""
-    SELECT format, profile_id, count(*) AS n, max(score) AS best, min({LINK}) AS first_url FROM top10, (VALUES ('csv'), ('json')) f(format) GROUP BY 1, 2""", "top10")
+    SELECT format, profile_id, rank, title, company, location, salary_min, salary_max, salary_value, score, {LINK} AS url, md5(substr(description, 1, 2000)) AS description
+    FROM top10, (VALUES ('csv'), ('json')) f(format)""", "top10")
 q("job_link", f"SELECT job_id, {LINK} AS link FROM postings", "postings")
 q("salary_label", f"SELECT job_id, {SALARY} AS salary FROM enriched", "enriched")
 

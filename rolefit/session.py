@@ -41,9 +41,11 @@ def local_session(cores: int | str = 8, memory: str = "12g", shuffle_partitions:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor of a cluster sees.
 
-    Where the setting is missing, the session's warehouse takes its place: executors share it as well.
+    Where the setting is missing, the session's warehouse takes its place: executors share it as well. The path names its
+    file system, so that other libraries in the tasks write to the same one as Spark.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()

@@ -7,14 +7,10 @@ from rolefit.plans.oracle import ORACLE, stop_words
 from rolefit.operators import lexical
 from tools.check import compare, connect
 
-# A cross-section; tools/check.py compares every query.
-NAMES = [
-    "flatten_nested", "sample_postings", "scan_snapshot", "parse_profiles", "normalize_postings", "bloom_dedup", "ingest_stats",
-    "bloom_membership", "upsert_flags", "enrich", "ats_match", "rank_topk", "explain_matches", "match_card", "ndcg_at_k", "tfidf_weights",
-    "retrieval_ab", "summary_stats", "count_min_estimates", "learner_fold", "learner_resume", "rerank_after_feedback", "stream_live_merge",
-    "learner_stream", "stream_bloom", "stream_ingest", "stream_progress", "epsilon_greedy", "sample_by_offset", "tailored_text", "skill_overlap",
-    "acceptance_curve", "inject_dups", "parse_profiles", "export_matches",
-]
+# Approximate results have no twin; tests/test_ann.py measures them against exact retrieval.
+WITHOUT_TWIN = {"ann_knn", "ann_recall"}
+# Keys that a filter loses are rarer than the rows of the smallest tables.
+MAY_BE_EMPTY = {"bloom_false_positives"}
 
 
 @pytest.fixture(scope="module")
@@ -22,14 +18,14 @@ def db(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_as_sql(spark, db, sf_dir, name):
     difference, rows, _, _ = compare(spark, db, sf_dir, name)
-    assert not difference and rows > 0
+    assert not difference and (rows > 0 or name in MAY_BE_EMPTY)
 
 
 def test_every_twin_belongs_to_a_query():
-    assert set(ORACLE) == set(QUERIES)
+    assert set(ORACLE) == set(QUERIES) - WITHOUT_TWIN
 
 
 def test_both_sides_use_the_same_stop_words(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rolefit.operators.dedup import bloom_bitmap, bloom_membership, bloom_verdict, first_per_key
-from rolefit.streaming.runs import newest_batch
+from rolefit.streaming.runs import batch_ids
 
 SALTS = 16
 
@@ -61,10 +61,13 @@ class BloomSink:
 
     The filter is sized for ``expected`` keys at false-positive rate ``p``. When a batch could overfill it, a
     further generation of at least twice the size and half the rate takes the new keys, and earlier ones are only
-    asked; so the rate stays below 2 p however many keys arrive. Each batch writes its kept rows and the whole
-    filter under its own id and reads the filter of the batch before: a repeated batch replaces what it wrote.
+    asked; so the rate stays below 2 p however many keys arrive. Each batch writes its kept rows, the generations and the bits
+    that its rows set under its own id; every ``COMPACT``-th writes the whole filter, so that a batch reads what was
+    written since. A repeated batch replaces what it wrote.
     """
 
+    COMPACT = 16
+
     def __init__(self, spark: SparkSession, path: str, key: Column, order: str, expected: int, p: float = 0.01):
         self.spark, self.key, self.order, self.expected, self.p = spark, key, order, max(expected, 1000), p
         self.rows_path, self.bits_path = f"{path}/rows", f"{path}/bits"
@@ -75,9 +78,15 @@ class BloomSink:
         return {"gen": number, "m": m, "k": max(1, math.floor(m / n * math.log(2))), "capacity": capacity, "held": 0}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        saved = newest_batch(self.spark, self.bits_path, batch_id)
-        # One row per generation, as many as the logarithm of the keys.
-        known = [] if saved is None else [r.asDict() for r in saved.filter("bucket IS NULL").drop("bucket", "bitmap").orderBy("gen").collect()]
+        earlier = batch_ids(self.spark, self.bits_path, batch_id)
+        saved, known = None, []
+        if earlier:
+            since = max([i for i in earlier if i % self.COMPACT == 0], default=0)
+            stored = self.spark.read.parquet(*[f"{self.bits_path}/batch={i}" for i in earlier if i >= since]).filter("bucket IS NOT NULL")
+            saved = stored.groupBy("gen", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+            heads = self.spark.read.parquet(f"{self.bits_path}/batch={earlier[-1]}").filter("bucket IS NULL")
+            # One row per generation, as many as the logarithm of the keys.
+            known = [r.asDict() for r in heads.drop("bucket", "bitmap").orderBy("gen").collect()]
         generations = known or [self._generation(0, self.expected)]
         rows = batch.select(self.key.alias("_key"), F.col(self.order))
         arriving = rows.select("_key").distinct().count()
@@ -87,7 +96,7 @@ class BloomSink:
             before = generations[-1]["capacity"] if generations else 0
             generations.append(self._generation(len(generations), max(2 * before, arriving)))
         now = generations[-1]
-        bitmaps = lambda g: None if saved is None else saved.filter((F.col("gen") == g["gen"]) & F.col("bucket").isNotNull()).select("bucket", "bitmap")
+        bitmaps = lambda g: None if saved is None else saved.filter(F.col("gen") == g["gen"]).select("bucket", "bitmap")
         for old in generations[:-1]:
             seen = bloom_membership(rows, F.col("_key"), bitmaps(old), F.lit(old["m"]), F.lit(old["k"])).filter("maybe_seen")
             rows = rows.join(seen.select(F.col("key").alias("_key")), "_key", "left_anti")
@@ -96,15 +105,13 @@ class BloomSink:
         batch.join(kept, self.order, "left_semi").write.mode("overwrite").parquet(f"{self.rows_path}/batch={batch_id}")
         stored = self.spark.read.schema(batch.schema).parquet(f"{self.rows_path}/batch={batch_id}")
         bits = bloom_bitmap(stored, self.key, F.lit(now["m"]).cast("bigint"), F.lit(now["k"]).cast("bigint"))
-        if now in known:
-            bits = bits.unionByName(bitmaps(now)).groupBy("bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
         held = {**now, "held": now["held"] + stored.count()}
         heads = self.spark.createDataFrame([{**g, **(held if g is now else {})} for g in generations], "gen int, m bigint, k bigint, capacity bigint, held bigint")
-        told = heads.withColumns({"bucket": F.lit(None).cast("bigint"), "bitmap": F.lit(None).cast("binary")})
-        fresh = bits.select(*[F.lit(held[c]).cast(t).alias(c) for c, t in (("gen", "int"), ("m", "bigint"), ("k", "bigint"), ("capacity", "bigint"), ("held", "bigint"))], "bucket", "bitmap")
-        out = told.unionByName(fresh)
-        if saved is not None:
-            out = out.unionByName(saved.filter((F.col("gen") != now["gen"]) & F.col("bucket").isNotNull()))
+        fresh = bits.select(F.lit(now["gen"]).cast("int").alias("gen"), "bucket", "bitmap")
+        if saved is not None and batch_id % self.COMPACT == 0:
+            fresh = fresh.unionByName(saved).groupBy("gen", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+        nothing = {c: F.lit(None).cast("bigint") for c in ("m", "k", "capacity", "held")}
+        out = heads.withColumns({"bucket": F.lit(None).cast("bigint"), "bitmap": F.lit(None).cast("binary")}).unionByName(fresh.withColumns(nothing))
         out.write.mode("overwrite").parquet(f"{self.bits_path}/batch={batch_id}")
 
     def kept(self) -> DataFrame:

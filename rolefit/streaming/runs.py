@@ -58,15 +58,14 @@ class CountedTable:
         return self.spark.read.parquet(self.counts_path)
 
 
-def newest_batch(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """What the latest batch (below ``before``) wrote under ``path``, or None; earlier batches are not read."""
+def batch_ids(spark: SparkSession, path: str, before: int | None = None) -> list[int]:
+    """Ids of the batches (below ``before``) that wrote under ``path``, in order."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not files.exists(hadoop):
-        return None
+        return []
     ids = [int(name.removeprefix("batch=")) for name in (s.getPath().getName() for s in files.listStatus(hadoop)) if name.startswith("batch=")]
-    ids = [i for i in ids if before is None or i < before]
-    return spark.read.parquet(f"{path}/batch={max(ids)}") if ids else None
+    return sorted(i for i in ids if before is None or i < before)
 
 
 def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:

@@ -80,6 +80,19 @@ def test_bloom_filter_grows_and_loses_few(spark, tmp_path):
     assert sink.kept().filter("batch = 3").count() <= 50_000 - kept.filter("batch < 3").count()
 
 
+def test_bloom_batches_write_their_own_bits(spark, tmp_path, monkeypatch):
+    """After a large batch small ones store few buckets, but for the one that puts the filter together again."""
+    monkeypatch.setattr(ingest.BloomSink, "COMPACT", 4)
+    sink = ingest.BloomSink(spark, str(tmp_path), F.col("job_id"), "seq", expected=200_000, p=0.01)
+    rows = spark.range(100_006).select(F.col("id").alias("seq"), F.concat(F.lit("k"), "id").alias("job_id"))
+    sink(rows.filter("seq < 100000"), 0)
+    for n in range(1, 6):
+        sink(rows.filter(f"seq IN ({100_000 + n}, {n})"), n)
+    stored = {r["batch"]: r["count"] for r in spark.read.parquet(sink.bits_path).filter("bucket IS NOT NULL").groupBy("batch").count().collect()}
+    assert stored[0] > 50 and stored[4] == stored[0] and all(stored[n] <= 7 for n in (1, 2, 3, 5))
+    assert sorted(r["seq"] for r in sink.kept().filter("batch > 0").collect()) == [100_000 + n for n in range(1, 6)]
+
+
 def test_bloom_batches_equal_one_batch(spark, arrivals, tmp_path):
     """Two batches through the sink keep what the filter keeps when it reads everything at once."""
     sink = ingest.BloomSink(spark, str(tmp_path), F.col("job_id"), "seq", expected=1000, p=0.3)

@@ -58,7 +58,11 @@ def exact_median(values: DataFrame, column: str) -> DataFrame:
     Counting per bin finds the bins of the middle ranks; only the distinct values of those bins
     are then ranked. The built-in exact median would gather every distinct value in one task.
     """
-    counted = values.groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    return median_of_counts(values.groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("c")))
+
+
+def median_of_counts(counted: DataFrame) -> DataFrame:
+    """The same from (v, c): values and how often each occurs."""
     counted = counted.withColumn("bin", F.floor(F.col("v") / MEDIAN_BIN).cast("int"))
     bins = counted.groupBy("bin").agg(F.sum("c").alias("c"))
     everything = Window.orderBy("bin")
@@ -75,20 +79,25 @@ def exact_median(values: DataFrame, column: str) -> DataFrame:
     return ranked.agg(((F.max(pick_low) + F.max(pick_high)) / 2).alias("median"))
 
 
-def distinct_count(df: DataFrame, column: Column) -> Column:
-    """Exact number of distinct non-blank values as a scalar."""
-    return df.select(F.nullif(column, F.lit("")).alias("v")).groupBy("v").agg(F.lit(1)).agg(F.count("v").alias("n")).select("n").scalar()
-
-
 def summary_stats(enriched: DataFrame) -> DataFrame:
-    salaries = salary_distribution(enriched)
+    """One row of figures. Postings are read once: companies, locations and salaries are counted by value in one exchange, which all figures share."""
     known = (F.col("salary_value") > SALARY_FLOOR) & (F.col("salary_value") < SALARY_CEILING)
-    totals = enriched.agg(F.count(F.lit(1)).alias("total_jobs"), F.coalesce(F.sum(known.cast("bigint")), F.lit(0)).alias("n"))
+
+    def cell(kind: str, text: Column, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), text.alias("text"), value.cast("double").alias("v"))
+
+    nothing = F.lit(None)
+    cells = [cell(c, F.nullif(F.col(c), F.lit("")), nothing) for c in ("company", "location")]
+    cells.append(cell("salary", nothing.cast("string"), F.when(known, F.col("salary_value"))))
+    counted = enriched.select(F.inline(F.array(*cells))).groupBy("kind", "text", "v").agg(F.count(F.lit(1)).alias("c"))
+    of = lambda kind, value: F.when(F.col("kind") == kind, value)
+    totals = counted.agg(
+        F.coalesce(F.sum(of("company", F.col("c"))), F.lit(0)).alias("total_jobs"),
+        F.count(of("company", F.col("text"))).alias("companies"), F.count(of("location", F.col("text"))).alias("locations"),
+        F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("c"))), F.lit(0)).alias("n"))
+    median = median_of_counts(counted.filter("kind = 'salary' AND v IS NOT NULL").select("v", "c"))
     return totals.select(
-        "total_jobs",
-        distinct_count(enriched, F.col("company")).alias("companies"),
-        distinct_count(enriched, F.col("location")).alias("locations"),
-        exact_median(salaries, "salary").select("median").scalar().alias("median_salary"),
+        "total_jobs", "companies", "locations", median.select("median").scalar().alias("median_salary"),
         F.bround(F.lit(100.0) * F.col("n") / F.greatest(F.lit(1), F.col("total_jobs")), 1).alias("pct_with_salary"),
     )
 

@@ -6,6 +6,7 @@ Users can pass their own tables to every function that reads one of these.
 """
 
 # --- canonical posting columns -------------------------------------------------------------
+# Names and order of the columns that results have.
 CANONICAL_FIELDS = [
     "job_id", "title", "company", "location", "country", "salary_min", "salary_max",
     "description", "skills", "url", "source", "posted_date",

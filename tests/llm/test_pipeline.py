@@ -2,8 +2,11 @@ import re
 
 import corpus_pipeline
 import public_tokenizers
+import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
+from tests.llm.odd import documents, null_rows
 from tests.llm.test_minhash import shingles
 from tests.llm.test_pii import base
 
@@ -71,3 +74,14 @@ def test_run_gives_the_rows_of_its_last_stage(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir)
     assert [len(corpus_pipeline.STAGES), rows.columns[:3]] == [5, ["doc_id", "n_pieces", "ids"]]
     assert 0 < rows.count() and rows.filter("NOT restored").count() == 0
+
+
+@pytest.mark.parametrize("kind", ["empty", "nulls", "odd"])
+def test_run_on_odd_tables(spark, tmp_path, kind):
+    """No rows; rows null in every column and repeated ones; columns whose names the stages use themselves, ids that repeat with other texts."""
+    docs = {"empty": documents(spark, empty=True), "nulls": null_rows(spark), "odd": documents(spark).unionByName(documents(spark, ["one more text under the first id"]))}[kind]
+    docs = docs.withColumns({"doc": F.lit("d"), "parts": F.lit(1), "spans": F.lit("s"), "block": F.lit(2), "labelled": F.lit(3)})
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, 1, 0), (3, 0, 1), (None, 1, None), (5, None, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert all(r.restored for r in rows) and (kind != "empty" or not rows) and (kind != "nulls" or {r.doc_id for r in rows} <= {3})

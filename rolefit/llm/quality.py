@@ -25,7 +25,7 @@ FEATURES = [
     "other", "distinct_words", "top_word", "same_as_next", "distinct_pairs", "distinct_lines", "caps_words", "marked_words", "bare_marks", "packed", "entropy",
 ]
 #: Cosine features, ridge penalty per row, and the most labelled rows that a model is fit to.
-DIMENSIONS, PENALTY, MAX_ROWS = 256, 1e-4, 1_000_000
+DIMENSIONS, PENALTY, MAX_ROWS = 256, 1e-4, 200_000
 #: Tasks that sum the normal equations: what they send to be added is this many times a fixed size.
 SUMMING_TASKS = 24
 #: Bins of ridge scores that the calibration sees.

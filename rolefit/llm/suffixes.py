@@ -27,6 +27,8 @@ from rolefit.llm.common import materialize, numbered, tasks, text_or_empty
 LENGTH, GRAM = 400, 64
 #: Words of a passage that is reported as such where it repeats, however few bytes it has; bytes of a word's code.
 PASSAGE, CODE = 51, 4
+#: Bits of the bitmap of grams that occur twice: 16 MB.
+BITMAP = 2**27
 #: Window starts that are looked at together.
 BLOCK = 2**20 - 1024
 #: Different surroundings of one anchor that a task compares; more are compared by a shuffle of their windows.
@@ -256,6 +258,20 @@ def merged(ranges: list[dict]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
+def _met_again(places: DataFrame) -> DataFrame:
+    """``places`` without most of those whose gram occurs once and that stand for no repeat, before any of them moves.
+
+    Grams alone are counted; a bitmap of those met again, of one size whatever the data, goes to every task.
+    """
+    again = places.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1")
+    place = F.pmod(F.col("g"), F.lit(BITMAP))
+    bit = F.bitmap_bit_position(place)
+    bits = again.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(bit).alias("bitmap"))
+    byte = F.conv(F.hex(F.substring(F.col("bitmap"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    held = (F.bitmap_bucket_number(place) == F.col("bucket")) & (F.getbit(byte, (bit % 8).cast("int")) == 1)
+    return places.join(F.broadcast(materialize(bits, "suffix-bitmap")), held, "left_semi")
+
+
 def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, together: int = TOGETHER) -> DataFrame:
     """row_id, from, to: byte ranges that windows of ``length`` bytes found at two or more places cover; they may overlap.
 
@@ -265,6 +281,7 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, to
     """
     n = tasks(texts.sparkSession)
     places = materialize(texts.mapInArrow(_anchors(length, gram), "row_id long, a long, lo long, hi long, lead long, g long, u long"), "suffix-places")
+    places = _met_again(places)
     suffixes = places.groupBy("lead", "g", "u").agg(F.count("*").alias("c"), F.min(F.struct("row_id", "a", "lo", "hi")).alias("one"))
     suffixes = suffixes.select("lead", "g", "u", "c", "one.*").repartitionByRange(n, "lead", "g", "u").sortWithinPartitions("lead", "g", "u")
     shared = materialize(suffixes.mapInArrow(_compare_neighbours, "lead long, g long, u long, c long, row_id long, a long, lo long, hi long"), "suffix-shared")

@@ -115,18 +115,27 @@ def sketch_rows(items: DataFrame, depth: int, width: int) -> DataFrame:
     return hashed.withColumn("depth_row", row).withColumn("bucket", bucket).drop("_digest")
 
 
+def count_items(items: DataFrame, item: str) -> DataFrame:
+    """(item, c): how often each different item occurs."""
+    return items.groupBy(F.col(item).alias("item")).agg(F.count(F.lit(1)).alias("c"))
+
+
+def sketch_of_counts(counted: DataFrame, width: int, depth: int) -> DataFrame:
+    """Sketch cells (depth_row, bucket, cnt) of (item, c): an item is hashed once, not every time it occurs."""
+    return sketch_rows(counted, depth, width).groupBy("depth_row", "bucket").agg(F.sum("c").alias("cnt"))
+
+
 def count_min_sketch(items: DataFrame, item: str, width: int = 256, depth: int = 4) -> DataFrame:
-    """Sketch cells (depth_row, bucket, cnt). Each task ships at most width x depth partial counts."""
-    cells = sketch_rows(items.select(F.col(item).alias("item")), depth, width)
-    return cells.groupBy("depth_row", "bucket").agg(F.count(F.lit(1)).alias("cnt"))
+    """Sketch cells (depth_row, bucket, cnt). Each task ships its different items, then at most width x depth partial counts."""
+    return sketch_of_counts(count_items(items, item), width, depth)
 
 
 def sketch_estimates(items: DataFrame, item: str, top: int = 10, width: int = 256, depth: int = 4) -> DataFrame:
-    """Exact counts of the most frequent items next to their sketch estimates."""
-    exact = items.groupBy(F.col(item).alias("item")).agg(F.count(F.lit(1)).alias("exact")).orderBy(F.desc("exact"), "item").limit(top)
-    sketch = count_min_sketch(items, item, width, depth)
+    """Exact counts of the most frequent items next to their sketch estimates. Both come from one exchange of counted items."""
+    counted = count_items(items, item)
+    exact = counted.withColumnRenamed("c", "exact").orderBy(F.desc("exact"), "item").limit(top)
     return (
-        sketch_rows(exact, depth, width).join(sketch, ["depth_row", "bucket"])
+        sketch_rows(exact, depth, width).join(sketch_of_counts(counted, width, depth), ["depth_row", "bucket"])
         .groupBy("item", "exact").agg(F.min("cnt").alias("cms_estimate"))
         .withColumn("error_pct", F.bround(F.lit(100.0) * (F.col("cms_estimate") - F.col("exact")) / F.col("exact"), 2))
     )

@@ -3,7 +3,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from rolefit.operators import lexical
+from rolefit.operators import analytics, lexical
 from rolefit.plans import landing
 from rolefit.plans.inputs import Inputs
 
@@ -28,3 +28,18 @@ def test_texts_are_encoded_a_few_at_a_time():
     assert sum(rows) == 10_000 and max(rows) <= lexical.TEXTS_AT_ONCE and peak < 16 << 20
     whole = np.concatenate([lexical.HashingEncoder().of_words(part.column("words")) for part in lexical._slices(iter([batch]))])
     assert np.array_equal(whole, lexical.HashingEncoder().of_words(words))
+
+
+def test_a_sketch_hashes_each_item_once(spark, monkeypatch):
+    hashed, rows_of = [], analytics.sketch_rows
+
+    def counted(items, *shape):
+        hashed.append(items.count())
+        return rows_of(items, *shape)
+
+    monkeypatch.setattr(analytics, "sketch_rows", counted)
+    words = spark.range(5_000).selectExpr("concat('w', id % 50) AS w").unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS w"))
+    cells = {(r.depth_row, r.bucket): r.cnt for r in analytics.count_min_sketch(words, "w").collect()}
+    assert hashed == [51] and sum(cells.values()) == 4 * 5_001 and cells[0, None] == 1
+    assert {r.exact for r in analytics.sketch_estimates(words.filter("w IS NOT NULL"), "w", 5).collect()} == {100}
+    assert hashed[1:] == [5, 50]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -13,12 +14,15 @@ from rolefit.operators.learning import STATE, STATE_SCHEMA, _step_one, latest_pe
 
 def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """One profile's events of a batch, in order, on top of its kept state."""
-    events = pd.concat(list(frames)).sort_values("seq", kind="stable")
-    kept = state.get if state.exists else events.iloc[0][STATE[1:]].tolist()
+    parts = list(frames)
+    events = parts[0] if len(parts) == 1 else pd.concat(parts)
+    order = np.argsort(events["seq"].to_numpy(), kind="stable")
+    x, rewards = events["x"].to_numpy()[order], events["reward"].to_numpy()[order].tolist()
+    kept = state.get if state.exists else [events[c].iat[order[0]] for c in STATE[1:]]
     w, b, n, lr, epsilon = list(map(float, kept[0])), list(map(float, kept[1])), int(kept[2]), float(kept[3]), float(kept[4])
-    for x, reward in zip(events["x"], events["reward"], strict=True):
-        w, b = _step_one(w, b, list(map(float, x)), float(reward), lr)
-    n += len(events)
+    for signals, reward in zip(x, rewards, strict=True):
+        w, b = _step_one(w, b, [float(v) for v in signals], reward, lr)
+    n += len(rewards)
     state.update((w, b, n, lr, epsilon))
     yield pd.DataFrame({"profile_id": [key[0]], "weights": [w], "baseline": [b], "n_seen": [n], "lr": [lr], "epsilon": [epsilon]})
 

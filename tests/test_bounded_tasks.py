@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 
 from rolefit.operators import analytics, lexical
-from rolefit.plans import landing
+from rolefit.plans import catalog, landing
 from rolefit.plans.inputs import Inputs
 
 
@@ -43,3 +43,20 @@ def test_a_sketch_hashes_each_item_once(spark, monkeypatch):
     assert hashed == [51] and sum(cells.values()) == 4 * 5_001 and cells[0, None] == 1
     assert {r.exact for r in analytics.sketch_estimates(words.filter("w IS NOT NULL"), "w", 5).collect()} == {100}
     assert hashed[1:] == [5, 50]
+
+
+def test_learner_stream_forms_its_events_once(spark, sf_dir, monkeypatch):
+    """Both arrivals are cut from stored events, not formed anew for each, and land in files that grow with the table."""
+    landed, land_rows = [], landing.land_rows
+
+    def watched(rows, path, files, mode):
+        landed.append((rows.inputFiles(), files))
+        land_rows(rows, path, files, mode)
+
+    monkeypatch.setattr(landing, "land_rows", watched)
+    monkeypatch.setattr(landing, "LANDED_BYTES", 10_000)
+    got = {r.profile_id: r for r in catalog.QUERIES["learner_stream"](spark, sf_dir).collect()}
+    monkeypatch.undo()
+    assert len(landed) == 2 and all(files > 2 and all("/learner-" in f for f in read) for read, files in landed)
+    whole = {r.profile_id: r for r in catalog.QUERIES["learner_fold"](spark, sf_dir).collect()}
+    assert got.keys() == whole.keys() and all(abs(a - b) < 2e-6 for p in got for a, b in zip(got[p], whole[p]))

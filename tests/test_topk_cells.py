@@ -74,3 +74,22 @@ def test_memory_of_a_cell_does_not_grow_with_the_queries():
 
     few, many = peak(4000), peak(16000)
     assert many < 1.2 * few < 400 << 20
+
+
+@pytest.mark.parametrize("k", [3, 20, 150])
+def test_a_few_documents_set_the_floor_for_the_rest(spark, monkeypatch, k):
+    """The first slice is no longer ranked as a whole, whatever is tied across its pieces."""
+    rng = np.random.default_rng(6)
+    queries, docs = rng.normal(size=(25, 5)), rng.normal(size=(160, 5))
+    docs[10:90] = docs[3]
+    monkeypatch.setattr(retrieval, "FIRST_DOCS", 16)
+    monkeypatch.setattr(retrieval, "FIRST_LISTS", 1)
+    ranked, best = [], retrieval._best
+    monkeypatch.setattr(retrieval, "_best", lambda scores, floor, n: ranked.append(scores.shape[1]) or best(scores, floor, n))
+    column = lambda m: pa.ListArray.from_arrays(np.arange(0, m.size + 1, 5, dtype="int32"), pa.array(m.astype("float32").ravel()))
+    held = retrieval._Held(retrieval._Dense)
+    held.add(pa.array(range(160)), column(docs))
+    held.close()
+    rows, cols, values = held.search(column(queries), np.arange(25), k)
+    got = {(r, n + 1): (c, v) for r, n, c, v in zip(rows.tolist(), retrieval._place(rows).tolist(), cols.tolist(), values.tolist())}
+    assert got == brute(range(25), queries, range(160), docs, k) and max(ranked) == max(16, k)

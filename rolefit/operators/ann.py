@@ -4,7 +4,8 @@ A coarse quantizer is fitted to a bounded sample; every document goes to the lis
 to as many lists as the sample says the wished recall needs. Where vectors have no clusters, that is a large part of
 them, and exact retrieval is the better choice: how many rows are scored is reported beside the recall.
 
-Lists are split by their counted size, on both sides, so that no task holds a large one. Copies of a vector are searched
+Lists are gathered into groups and large ones split by their counted size, on both sides, so that no task holds a large part
+and a query travels once to a group, not once to each list. Copies of a vector are searched
 once: of equal documents only the k least ids can be in a result, and equal queries share theirs, so a list
 full of copies never pairs with itself.
 """
@@ -20,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rolefit.operators.retrieval import DIGITS, _best
+from rolefit.operators.retrieval import DIGITS, _best, _cut, _place
 
 SAMPLE = 65_536       # vectors that the quantizer is fitted to at most
 MOST_LISTS = 4_096    # hence centres of 6 MB at 384 float32 dimensions, sent to every task
 ROUNDS, JUDGED = 8, 512  # rounds of k-means, sampled queries that the number of probes is read from
-PART_DOCS, PART_QUERIES = 16_384, 4_096
+PART_DOCS, PART_QUERIES = 65_536, 32_768
+PART_BYTES = 32 << 20  # of the float64 vectors of a part, on either side
+ROWS_AT_ONCE = 1_024  # rows of a batch that are dealt to groups together
 CELLS = 8_000_000     # similarities computed at a time
 
 
@@ -123,31 +126,92 @@ def _vector_key() -> list[Column]:
     return [F.xxhash64(F.lit(1), "vec").alias("key1"), F.xxhash64(F.lit(2), "vec").alias("key2")]
 
 
+def _grouped(sizes: dict[int, int], lists: int, most: int) -> np.ndarray:
+    """The group of each list, or -1 for one without documents: lists in turn, until one more would exceed ``most`` documents."""
+    group, held, out = 0, 0, np.full(lists, -1, np.int32)
+    for n in sorted(sizes):
+        if held and held + sizes[n] > most:
+            group, held = group + 1, 0
+        out[n], held = group, held + sizes[n]
+    return out
+
+
+def _dealt(vectors: DataFrame, fitted: Lists, group_of: np.ndarray, probes: int) -> DataFrame:
+    """(group, lists, id, vec): a row for each group that holds lists to probe, with those lists."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(at, ROWS_AT_ONCE)
+                near, _ = _nearest(_unit(_matrix(batch.column("vec"))), fitted.centres, probes)
+                row, listed = np.repeat(np.arange(len(near)), near.shape[1]), near.ravel()
+                group = group_of[listed]
+                order = np.lexsort((listed, group, row))
+                order = order[group[order] >= 0]
+                row, listed, group = row[order], listed[order], group[order]
+                first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (group[1:] != group[:-1])][:len(row)])
+                offsets = pa.array(np.r_[first, len(row)].astype(np.int32))
+                taken = batch.take(pa.array(row[first]))
+                yield pa.RecordBatch.from_arrays([pa.array(group[first]), pa.ListArray.from_arrays(offsets, pa.array(listed.astype(np.int32))),
+                                                  taken.column("id"), taken.column("vec")], names=["group", "lists", "id", "vec"])
+
+    kinds = ", ".join(f"{c} {vectors.schema[c].dataType.simpleString()}" for c in ("id", "vec"))
+    return vectors.select("id", "vec").mapInArrow(run, f"group int, lists array<int>, {kinds}")
+
+
 def _cells(fitted: Lists, queries: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides with the cell (list, part of the documents, part of the queries) that their rows meet in."""
-    d = assign(docs, fitted).withColumn("list", F.col("lists")[0]).drop("lists")
-    q = assign(queries, fitted, fitted.probes).select("*", F.explode("lists").alias("list")).drop("lists")
-    split = lambda rows, most, name: rows.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias(name))
-    parts = split(d, PART_DOCS, "d_parts").join(split(q, PART_QUERIES, "q_parts"), "list")  # a row per list
+    """Both sides with the cell (group of lists, part of the documents, part of the queries) that their rows meet in.
+
+    A query goes once to a group, however many of its lists it probes; groups are counted on both sides, a row for each
+    list or group on the driver.
+    """
+    spark, width = docs.sparkSession, 8 * fitted.centres.shape[1]
+    most_docs, most_queries = (max(1, min(most, PART_BYTES // width)) for most in (PART_DOCS, PART_QUERIES))
+    counted = lambda rows, name: {r[name]: r["n"] for r in rows.groupBy(name).agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = counted(assign(docs, fitted).select(F.col("lists")[0].alias("list")), "list")
+    enough = -(-sum(sizes.values()) // (2 * spark.sparkContext.defaultParallelism))  # documents of a group, so that all slots have work
+    group_of = _grouped(sizes, len(fitted.centres), max(1, min(most_docs, enough)))
+    d, q = _dealt(docs, fitted, group_of, 1), _dealt(queries, fitted, group_of, fitted.probes)
+    held = {}
+    for n, size in sizes.items():
+        held[int(group_of[n])] = held.get(int(group_of[n]), 0) + size
+    asked = counted(q, "group")
+    rows = [(g, -(-held[g] // most_docs), -(-n // most_queries)) for g, n in asked.items()]
+    parts = F.broadcast(spark.createDataFrame(rows, "group int, d_parts int, q_parts int"))
     part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    d = d.join(F.broadcast(parts), "list").select("list", part("d_parts").alias("d_part"), every("q_parts").alias("q_part"), "id", "vec")
-    q = q.join(F.broadcast(parts), "list").select("list", every("d_parts").alias("d_part"), part("q_parts").alias("q_part"), "id", "vec")
+    d = d.join(parts, "group").select("group", part("d_parts").alias("d_part"), every("q_parts").alias("q_part"), "lists", "id", "vec")
+    q = q.join(parts, "group").select("group", every("d_parts").alias("d_part"), part("q_parts").alias("q_part"), "lists", "id", "vec")
     return q, d
 
 
 def _search(k: int):
     def run(queries: pa.Table, docs: pa.Table) -> pa.Table:
         docs = docs.sort_by("id")
-        x, q, names = _unit(_matrix(docs["vec"])), _unit(_matrix(queries["vec"])), docs["id"].combine_chunks()
-        asked, out = queries["id"].combine_chunks(), []
-        if len(asked) and len(names):
-            step = max(1, CELLS // len(x))
-            for at in range(0, len(q), step):
-                score = np.round(q[at:at + step] @ x.T, DIGITS)
-                row, col = _best(score, np.full(len(score), -np.inf), k)
-                out.append(pa.table({"query_id": asked.take(pa.array(row + at)), "doc_id": names.take(pa.array(col)), "similarity": score[row, col]}))
-        return pa.concat_tables(out) if out else pa.table({"query_id": asked.slice(0, 0), "doc_id": names.slice(0, 0), "similarity": pa.array([], pa.float64())})
+        names, asked = docs["id"].combine_chunks(), queries["id"].combine_chunks()
+        if not len(asked) or not len(names):
+            return pa.table({"query_id": asked.slice(0, 0), "doc_id": names.slice(0, 0), "similarity": pa.array([], pa.float64())})
+        x, q = _unit(_matrix(docs["vec"])), _unit(_matrix(queries["vec"]))
+        own, wanted = docs["lists"].combine_chunks().flatten().to_numpy(), queries["lists"].combine_chunks()
+        probing, probed = np.repeat(np.arange(len(wanted)), np.diff(wanted.offsets.to_numpy())), wanted.flatten().to_numpy()
+        floor, found, size = np.full(len(q), -np.inf), [], 0
+        for n in np.unique(own):
+            cols, rows = np.flatnonzero(own == n), probing[probed == n]
+            part = x[cols].T
+            for at in range(0, len(rows), max(1, CELLS // len(cols))):
+                mine = rows[at:at + max(1, CELLS // len(cols))]
+                score = np.round(q[mine] @ part, DIGITS)
+                row, col = _best(score, floor[mine], k)
+                found.append((mine[row], cols[col], score[row, col]))
+                size += len(row)
+            if size >= 2 * k * len(q):
+                row, col, score = _cut(found, k)
+                found, size, last = [(row, col, score)], len(row), np.flatnonzero(_place(row) == k - 1)
+                floor[row[last]] = score[last]
+        if not found:
+            return pa.table({"query_id": asked.slice(0, 0), "doc_id": names.slice(0, 0), "similarity": pa.array([], pa.float64())})
+        row, col, score = _cut(found, k)
+        return pa.table({"query_id": asked.take(pa.array(row)), "doc_id": names.take(pa.array(col)), "similarity": score})
 
     return run
 
@@ -161,7 +225,7 @@ def ann_topk(queries: DataFrame, docs: DataFrame, k: int, fitted: Lists | None =
     fitted = fitted or fit_lists(docs, k)
     d, q, back = _different(queries, docs, k)
     left, right = _cells(fitted, q, d)
-    keys = ["list", "d_part", "q_part"]
+    keys = ["group", "d_part", "q_part"]
     d_type, q_type = docs.schema["id"].dataType.simpleString(), queries.schema["id"].dataType.simpleString()
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_search(k), f"query_id {q_type}, doc_id {d_type}, similarity double")
     best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "doc_id")

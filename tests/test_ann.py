@@ -62,3 +62,17 @@ def test_odd_vectors(spark, rows):
     docs = spark.createDataFrame(rows, "id bigint, vec array<float>")
     out = ann.ann_topk(docs, docs, 3).collect()
     assert {r["query_id"] for r in out} == {i for i, v in rows if v is not None}
+
+
+def test_a_query_travels_once_to_a_group_of_lists(spark):
+    rng = np.random.default_rng(4)
+    docs = frame(spark, rng.normal(size=(300, 4)))
+    centres = ann.fit_lists(docs, 5, lists=60).centres
+    fitted = ann.Lists(centres, len(centres))
+    q, d = ann._cells(fitted, docs.filter("id < 20"), docs)
+    held = {n for r in d.collect() for n in r.lists}
+    sent = {}
+    for r in q.collect():
+        sent.setdefault(r.id, []).append(r.lists)
+    assert d.count() == 300 and len(sent) == 20 and all(len(rows) <= len(held) / 2 for rows in sent.values())
+    assert all(sorted(n for lists in rows for n in lists) == sorted(held) for rows in sent.values())

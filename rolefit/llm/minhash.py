@@ -3,9 +3,9 @@
 A text's set of word shingles is hashed once; each of BANDS * ROWS bins keeps the least hash that falls in it, an
 empty bin borrows from a bin found by universal hashing of (bin, attempt). Texts with equal rows in a band share a
 bucket. In a bucket every member is compared with its hub only, the least document: a star. Where that leaves a
-bucket with members that are not connected, a prefix filter finds those among them that can be near each other at
-all: two sets so similar share one of their rarest elements, early enough. So pairs stay bounded, and no pair of a
-bucket is lost. Links are confirmed on full shingle sets.
+bucket with members that are not connected, all of its pairs are compared inside of tasks, block by block, by
+products of their sets: no row is made per pair, and no pair of a bucket is lost. Links are confirmed on full shingle
+sets.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rolefit.llm.common import materialize, numbered, text_or_empty
@@ -25,6 +24,8 @@ from rolefit.llm.components import components
 #: A pair of similarity s shares no bucket with probability (1 - s**ROWS)**BANDS: 6e-9 at 0.85.
 BANDS, ROWS = 40, 6
 SHINGLE = 5
+#: Members of a bucket that a task compares with as many, and their elements; elements that are counted together.
+BLOCK, BLOCK_ELEMENTS, COLUMNS = 512, 2**20, 2**11
 #: Bits of the bitmap of wanted ids: 4 MB.
 BITMAP = 2**25
 _BINS = BANDS * ROWS
@@ -111,15 +112,53 @@ def _confirm(percent: int):
     return run
 
 
-def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per element of the sets."""
-    for batch in batches:
-        for at in range(0, len(batch), 512):
-            part = batch.slice(at, 512)
-            sets = [np.frombuffer(z.as_buffer(), np.int64) for z in part.column("hashes")]
-            sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-            spread = lambda c: pa.array(np.repeat(part.column(c).to_numpy(), sizes))
-            yield pa.RecordBatch.from_pydict({"v": spread("v"), "root": spread("root"), "n": pa.array(np.repeat(sizes, sizes)), "element": pa.array(np.concatenate(sets))})
+def _shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many elements each of the sets ``left`` shares with each of ``right``: products of some columns at a time."""
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), list(map(len, sets)))
+    order = np.argsort(flat)
+    new = np.r_[True, flat[order[1:]] != flat[order[:-1]]]
+    column = np.cumsum(new) - 1
+    often = np.bincount(column)[column] > 1
+    column, owner = np.cumsum(new[often]) - 1, owner[order[often]]
+    out = np.zeros((len(left), len(right)))
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        part = slice(*np.searchsorted(column, [lo, lo + COLUMNS]))
+        has = np.zeros((len(sets), int(column[part][-1]) - lo + 1), np.float32)
+        has[owner[part], column[part] - lo] = 1
+        out += has[left] @ has[right].T
+    return out
+
+
+def _connecting(one: np.ndarray, two: np.ndarray) -> list[int]:
+    """Places of pairs that connect what the pairs before them left apart."""
+    root, kept = {}, []
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for n, (x, y) in enumerate(zip(one.tolist(), two.tolist(), strict=True)):
+        x, y = find(x), find(y)
+        if x != y:
+            root[y] = x
+            kept.append(n)
+    return kept
+
+
+def _cell_links(percent: int):
+    """Over a cell of a bucket: links between its two blocks, as many as connect the roots that are linked there."""
+    def run(key: tuple[pa.Scalar, ...], cell: pa.Table) -> pa.Table:
+        v, root, block = (cell.column(c).to_numpy() for c in ("v", "root", "block"))
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in cell.column("hashes")]
+        left, right = (np.flatnonzero(block == x.as_py()) for x in key[1:])
+        shared, size = _shared(sets, left, right), np.array(list(map(len, sets)))
+        x, y = np.nonzero((100 * shared >= percent * (size[left][:, None] + size[right] - shared)) & (root[left][:, None] != root[right]))
+        x, y = left[x], right[y]
+        kept = _connecting(root[x], root[y])
+        return pa.table({"a": v[x[kept]], "b": v[y[kept]]})
+
+    return run
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -130,45 +169,34 @@ def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _linked(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """v, root: classes by the least class that they are connected with, but for roots."""
-    rows = classes.select("v", F.explode("bands").alias("band"))
+    rows = classes.select("v", "n", F.explode("bands").alias("band"))
     hubs = materialize(rows.groupBy("band").agg(F.min("v").alias("a"), F.count("*").alias("size")).filter("size > 1"), "minhash-hubs")
     members = materialize(rows.join(hubs, "band"), "minhash-members")
     stars = materialize(members.filter("v <> a").select("a", F.col("v").alias("b")).distinct(), "minhash-stars")
     sets = _needed_sets(docs, stars)
     links = materialize(_with_sets(stars, sets).mapInArrow(_confirm(percent), "a long, b long"), "minhash-links")
     roots = components(links)
-    placed = members.filter("size > 2").join(roots, "v", "left").select("v", "band", F.coalesce("root", "v").alias("root"))
-    placed = materialize(placed, "minhash-placed")
-    mixed = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("band")
-    open_ = materialize(placed.join(mixed, "band").select("v", "root").distinct(), "minhash-open")
-    near = materialize(_can_be_near(sets.join(open_, "v"), percent).join(stars, ["a", "b"], "left_anti"), "minhash-near")
-    more = _with_sets(near, sets).mapInArrow(_confirm(percent), "a long, b long")
+    placed = members.filter("size > 2").join(roots, "v", "left").select("v", "n", "band", F.coalesce("root", "v").alias("root"))
+    more = _bucket_links(materialize(placed, "minhash-placed"), sets, percent)
     return components(materialize(links.unionByName(more), "minhash-all-links"))
 
 
-def _can_be_near(sets: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs of ``sets`` (v, hashes, root) of different roots, without a pair that is less similar for sure.
+def _bucket_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: links that connect whatever members (band, v, n, root) of a bucket are linked, but of different roots.
 
-    Sets with ``percent`` of their elements in common share p / (100 + p) * (n1 + n2) elements, hence one of the
-    first n - p * n / 100 + 1 of each in any common order; here the rarest come first. From the first shared one on
-    each must have as many left. An element's rows of its most frequent root meet those of other roots only, so that
-    a large connected group is not paired with itself.
+    All pairs of a bucket are compared inside of tasks and only links leave them. A bucket of more than BLOCK members
+    or BLOCK_ELEMENTS elements is cut into blocks; a task holds two of them, a member goes where its block is met by
+    another. Of buckets with the same members one is taken.
     """
-    elements = materialize(sets.select("v", "root", "hashes").mapInArrow(_elements, "v long, root long, n long, element long"), "minhash-elements")
-    often = materialize(elements.groupBy("element").agg(F.count("*").alias("df")).filter("df > 1"), "minhash-often")
-    counted = elements.join(often, "element", "left").withColumn("df", F.coalesce("df", F.lit(1)))
-    place = F.row_number().over(W.partitionBy("v").orderBy("df", "element"))  # of one text
-    first = counted.withColumn("at", place).filter(F.expr(f"df > 1 AND at <= n - ceil({percent} * n / 100) + 1"))
-    first = materialize(first.select("v", "root", "n", "element", "at"), "minhash-first")
-    by_root = first.groupBy("element", "root").agg(F.count("*").alias("rows")).groupBy("element")
-    main = by_root.agg(F.max(F.struct("rows", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1")
-    main = materialize(main.select("element", F.col("main.root").alias("main")), "minhash-main")
-    met = materialize(first.join(main, "element").withColumn("of_main", F.col("root") == F.col("main")), "minhash-met")
-    one, two = met.filter("NOT of_main").alias("one"), met.alias("two")
-    enough = F.expr(f"{100 + percent} * least(one.n - one.at + 1, two.n - two.at + 1) >= {percent} * (one.n + two.n)")
-    once = F.expr("two.of_main OR one.v < two.v")
-    pairs = one.join(two, (F.col("one.element") == F.col("two.element")) & (F.col("one.root") != F.col("two.root")) & once & enough)
-    return pairs.select(F.least("one.v", "two.v").alias("a"), F.greatest("one.v", "two.v").alias("b")).distinct()
+    digests = [F.bit_xor(F.xxhash64("v", F.lit(seed))).alias(f"of_{seed}") for seed in (1, 2)]
+    mixed = members.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"), F.sum("n").alias("elements"), *digests)
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("elements") / BLOCK_ELEMENTS)).cast("int")
+    taken = mixed.filter("low < high").groupBy("size", "of_1", "of_2").agg(F.min(F.struct("band", blocks.alias("blocks"))).alias("one"))
+    open_ = members.join(taken.select("one.*"), "band").withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
+    open_ = materialize(open_.select("band", "v", "root", "block", "blocks"), "minhash-open")
+    met = sets.join(open_, "v").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = met.groupBy("band", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"))
+    return cells.applyInArrow(_cell_links(percent), "a long, b long")
 
 
 def _needed_sets(docs: DataFrame, stars: DataFrame) -> DataFrame:

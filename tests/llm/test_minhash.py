@@ -2,6 +2,7 @@ import re
 
 import numpy as np
 
+from rolefit.llm import minhash
 from rolefit.llm.components import components
 from rolefit.llm.minhash import keep_one, near_duplicates, shingle_set, signature
 from tests.llm.odd import documents, null_rows
@@ -104,3 +105,32 @@ def test_one_row_of_each_text_stays_whatever_the_ids(spark):
     rows = [(1, a), (1, b), (2, c), (2, c + " tail"), (None, a), (None, "null only " + b[:20]), (None, "null only " + b[:20])]
     kept = keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id or 0, r.text[:9]) for r in kept) == sorted([(0, "null only"), (1, a[:9]), (1, b[:9]), (2, c[:9])])
+
+
+def test_a_bucket_is_compared_in_blocks_without_a_row_per_pair(spark, monkeypatch):
+    """Copies that are edited too much to be near the hub: pairs of blocks, against all pairs; links alone leave a task."""
+    rng = np.random.default_rng(12)
+    base, rows = [f"w{i}" for i in range(120)], []
+    for n in range(90):
+        edited = base.copy()
+        for at in rng.choice(120, 2 + n % 4, replace=False):
+            edited[at] = f"x{rng.integers(0, 3)}"
+        rows.append((n, " ".join(edited)))
+    written, write = {}, minhash.materialize
+    monkeypatch.setattr(minhash, "materialize", lambda frame, name: written.setdefault(name, write(frame, name)))
+    for block, elements in ((512, 2**20), (7, 2**20), (512, 500)):
+        monkeypatch.setattr(minhash, "BLOCK", block)
+        monkeypatch.setattr(minhash, "BLOCK_ELEMENTS", elements)
+        written.clear()
+        check(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert "minhash-near" not in written and written["minhash-all-links"].count() < 90 * 40
+
+
+def test_shared_elements_of_two_blocks(monkeypatch):
+    monkeypatch.setattr(minhash, "COLUMNS", 3)
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in (1, 9, 30, 30, 50)]
+    left, right = np.array([0, 2, 4]), np.array([1, 3])
+    assert minhash._shared(sets, left, right).tolist() == [[len(np.intersect1d(sets[x], sets[y])) for y in right] for x in left]
+    assert minhash._shared([sets[0], sets[0] + np.uint64(99)], np.array([0]), np.array([1])).tolist() == [[0]]
+    assert minhash._connecting(np.array([1, 2, 1, 5]), np.array([2, 3, 3, 3])) == [0, 1, 3]

@@ -76,6 +76,27 @@ def test_memory_of_a_cell_does_not_grow_with_the_queries():
     assert many < 1.2 * few < 400 << 20
 
 
+def test_memory_of_a_cell_does_not_grow_with_the_documents(monkeypatch):
+    """Those beyond KEPT_BYTES are read a slice at a time; the lists are the same."""
+    rng = np.random.default_rng(7)
+    queries = rng.normal(size=(20, 32)).astype("float32")
+    for name, value in {"DOCS_PER_PACK": 2048, "CELLS_PER_SLICE": 20_000, "FIRST_DOCS": 64}.items():
+        monkeypatch.setattr(retrieval, name, value)
+
+    def run(docs, kept):
+        monkeypatch.setattr(retrieval, "KEPT_BYTES", kept, raising=False)
+        rows = list(batches(queries, docs))
+        tracemalloc.start()
+        found = [x for b in retrieval._search_cell(retrieval._Dense, 5)(iter(rows)) for x in zip(*(c.to_pylist() for c in b.columns))]
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most, found
+
+    docs = rng.normal(size=(80_000, 32)).astype("float32")
+    (few, _), (many, found) = run(docs[:20_000], 1 << 20), run(docs, 1 << 20)
+    assert many < 1.3 * few and found == run(docs, 1 << 30)[1]
+
+
 @pytest.mark.parametrize("k", [3, 20, 150])
 def test_a_few_documents_set_the_floor_for_the_rest(spark, monkeypatch, k):
     """The first slice is no longer ranked as a whole, whatever is tied across its pieces."""
